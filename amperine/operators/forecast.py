@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Python workers get these functions by value, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STEP = timedelta(minutes=15)
 RESULT_COLUMNS = ["base_time", "target_time", "equipment_id", "model_name", "yhat", "created_at"]
 

@@ -7,16 +7,21 @@ depends on `trees` and `psi` only, so it is broadcast for scoring.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from amperine.operators.quantiles import exact_quantiles
 from amperine.session import lookup_join, settle
 
+# Python workers get these functions by value, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LEVEL = "aggregation_level"
 _NODES = "aggregation_level string, tree int, node int, feature int, split double, path double"
 _EULER = 0.5772156649015329

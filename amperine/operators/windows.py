@@ -107,6 +107,59 @@ def aggregate_readings(
     return grouped.select("equipment_id", window_label(label_hours).alias("window_end_time"), *metrics)
 
 
+def reading_states(df: DataFrame, width: str = "1 minute", **timing) -> DataFrame:
+    """Mergeable states per machine and window: sums, counts and extremes.
+
+    One pass over the readings serves every coarser window, see `from_states`.
+    """
+    values = {
+        **{f"avg_voltage_{p.lower()}": try_double(F.col(f"voltage{p}")) for p in "RST"},
+        **{f"avg_current_{p.lower()}": try_double(F.col(f"current{p}")) for p in "RST"},
+        "avg_power_factor": phase_mean("powerFactor"),
+        "avg_voltage_imbalance_rate": imbalance_rate("voltage"),
+        "avg_current_imbalance_rate": imbalance_rate("current"),
+        "avg_activePower": try_double(F.col("activePower")),
+    }
+    power, counter = values["avg_activePower"], try_double(F.col("accumActiveEnergy"))
+    states = [
+        column
+        for name, value in values.items()
+        for column in (F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"n_{name}"))
+    ]
+    states += [
+        F.max(power).alias("max_power"),
+        F.min(counter).alias("min_counter"),
+        F.max(counter).alias("max_counter"),
+        F.count(F.lit(1)).alias("event_count"),
+    ]
+    grouped = tumbling(df, width, **timing).agg(*states)
+    names = [c for c in grouped.columns if c not in ("equipment_id", "window")]
+    return grouped.select("equipment_id", window_label().alias("window_end_time"), *names)
+
+
+def from_states(states: DataFrame, width: str | None = None) -> DataFrame:
+    """The aggregate with power and energy from states, merged to `width` if given."""
+    if width is not None:
+        merge = {"max": F.max, "min": F.min}
+        names = [c for c in states.columns if c not in ("equipment_id", "window_end_time")]
+        merged = [merge.get(n.split("_")[0], F.sum)(n).alias(n) for n in names]
+        states = (
+            tumbling(states, width, "window_end_time", key="equipment_id")
+            .agg(*merged)
+            .select("equipment_id", window_label().alias("window_end_time"), *names)
+        )
+    mean = lambda name: F.col(f"sum_{name}") / F.nullif(F.col(f"n_{name}"), F.lit(0))
+    return states.select(
+        "equipment_id",
+        "window_end_time",
+        *[mean(name).alias(name) for name in MEANS],
+        (F.col("max_power") / 1000.0).alias("max_activePower"),
+        (mean("avg_activePower") / 1000.0).alias("avg_activePower"),
+        (F.col("max_counter") - F.col("min_counter")).alias(ENERGY),
+        "event_count",
+    )
+
+
 def avg_current(df: DataFrame) -> DataFrame:
     """Add the mean of the three mean currents of an aggregate."""
     total = F.col("avg_current_r") + F.col("avg_current_s") + F.col("avg_current_t")

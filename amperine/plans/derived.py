@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from amperine import constants as K
 from amperine.functions.timestamps import format_localtime
 from amperine.operators.features import model_input
-from amperine.operators.windows import aggregate_readings
+from amperine.operators.windows import aggregate_readings, from_states, reading_states
+from amperine.session import settle
 
 MODULES = [f"module_{i:02d}" for i in range(13)]
 
 
 # Power means are whole watts / count / 1000; six digits would round exact ties.
-NINE_DIGITS = {"avg_activePower", "daily_avg_active_power", "y", "yhat"}
+NINE_DIGITS = {"avg_activePower", "daily_avg_active_power", "y", "yhat", "lower", "upper", "iqr"}
 
 
 def digits_of(name: str) -> int:
@@ -68,7 +69,10 @@ def aggregate(spark: SparkSession, sf_dir: str, level: str, **options) -> DataFr
 
 
 def scoring_rows(spark: SparkSession, sf_dir: str, levels: list[str] = K.LEVELS) -> DataFrame:
-    parts = [model_input(aggregate(spark, sf_dir, lv, energy=True), lv) for lv in levels]
+    """Scoring input of several levels from one pass over the readings."""
+    states = settle(reading_states(readings(spark, sf_dir)))
+    width = lambda level: None if level == "1m" else K.LEVEL_WIDTHS[level]
+    parts = [model_input(from_states(states, width(lv)), lv) for lv in levels]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -156,5 +160,5 @@ def with_raw_decision(rows: DataFrame) -> DataFrame:
     """A stand-in decision value, so that scoring can be compared with SQL."""
     return rows.withColumn(
         "iforest_score_raw",
-        (F.coalesce(F.col("avg_power_factor"), F.lit(0.0)) - 91.0) / 160.0,
+        (F.coalesce(F.col("avg_power_factor"), F.lit(0.0)) - 91.0123) / 151.7,
     )

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from amperine.plans import aggregates
+from amperine.plans import aggregates, alerts, reports, scoring
 
-_MODULES = [aggregates]
+_MODULES = [aggregates, scoring, alerts, reports]
 
 
 def queries() -> dict:

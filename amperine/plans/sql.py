@@ -185,7 +185,7 @@ LEVEL = (
 def _action() -> str:
     known = " ".join(f"WHEN '{reason}' THEN '{text}'" for reason, text in K.ACTIONS.items())
     named = (
-        f"list_filter(list_transform(string_split(rule_reason, '|'), x -> CASE x {known} END), x -> x IS NOT NULL)"
+        f"[CASE x {known} END FOR x IN string_split(rule_reason, '|')]"
     )
     return (
         f"CASE WHEN rule_reason <> 'normal' THEN array_to_string({named}, '; ') "
@@ -227,7 +227,7 @@ def combined() -> list[str]:
 
 
 RAW_DECISION = (
-    "decided AS (SELECT *, (coalesce(avg_power_factor, 0.0) - 91.0) / 160.0 AS iforest_score_raw FROM derived)"
+    "decided AS (SELECT *, (coalesce(avg_power_factor, 0.0) - 91.0123) / 151.7 AS iforest_score_raw FROM derived)"
 )
 
 

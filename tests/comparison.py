@@ -17,6 +17,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def _text(value) -> str:
+    if value is None or value is pd.NA or value != value:
+        return "<null>"
+    return repr(float(value)) if isinstance(value, (bool, int)) else str(value)
+
+
 def normal_form(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for name in df.columns:
@@ -24,7 +30,7 @@ def normal_form(df: pd.DataFrame) -> pd.DataFrame:
         if str(kind).startswith("datetime64"):
             df[name] = df[name].astype("datetime64[us]").astype(str)
         elif kind == object or str(kind) in ("str", "string"):
-            df[name] = df[name].map(lambda v: "<null>" if v is None or v != v else str(v))
+            df[name] = df[name].map(_text)
         else:
             df[name] = df[name].astype(float).map(lambda v: "<null>" if v != v else repr(v))
     return df.sort_values(list(df.columns)).reset_index(drop=True)
