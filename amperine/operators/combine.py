@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from amperine import constants as K
 from amperine.functions.numeric import clip, safe_double
+from amperine.functions.text import fill
 from amperine.operators.features import expected_events
-from amperine.session import lookup_join
+from amperine.session import level_join
 
 _CONFIG = (
     "aggregation_level string, rule_weight double, iforest_weight double, "
@@ -26,7 +27,7 @@ def with_level_config(df: DataFrame, config: DataFrame) -> DataFrame:
     daily = F.col("aggregation_level") == "1d"
     default = lambda i: F.when(daily, K.DEFAULT_WEIGHTS_1D[i]).otherwise(K.DEFAULT_WEIGHTS[i])
     return (
-        lookup_join(df, config, ["aggregation_level"])
+        level_join(df, config)
         .withColumns(
             {
                 "rule_weight": F.coalesce("rule_weight", default(0)),
@@ -54,7 +55,7 @@ def scale_iforest(df: DataFrame, batch_fallback: bool = False) -> DataFrame:
     if batch_fallback:
         known = F.when(~F.isnan("iforest_score_raw"), -F.col("iforest_score_raw"))
         spans = df.groupBy("aggregation_level").agg(F.min(known).alias("_lo"), F.max(known).alias("_hi"))
-        df = lookup_join(df, spans, ["aggregation_level"])
+        df = level_join(df, spans)
         wide = F.col("_hi") > F.col("_lo")
         score = score.when(wide, (abnormal - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * 100)
     score = score.otherwise(50 + abnormal * 250)
@@ -111,18 +112,18 @@ def recommended_action(rule_reason: Column, iforest_anomaly: Column) -> Column:
     )
 
 
-def final_reason(df: DataFrame, window_text: Column | None = None) -> Column:
+def final_reason() -> Column:
     """One sentence on why the row got its level."""
-    when = window_text if window_text is not None else F.col("window_end_time").cast("string")
+    when = F.col("window_end_time").cast("string")
     machine, level = F.col("equipment_id"), F.col("final_anomaly_level")
     features = F.array_join("triggered_features", ", ")
     return (
         F.when(
             F.size("triggered_features") > 0,
-            F.format_string(K.REASON_RULE, machine, when, features, F.round("iforest_score", 1), level),
+            fill(K.REASON_RULE, machine, when, features, F.col("iforest_score"), level),
         )
-        .when(F.col("iforest_anomaly") == 1, F.format_string(K.REASON_FOREST, machine, when, level))
-        .otherwise(F.format_string(K.REASON_NORMAL, machine, when, level))
+        .when(F.col("iforest_anomaly") == 1, fill(K.REASON_FOREST, machine, when, level))
+        .otherwise(fill(K.REASON_NORMAL, machine, when, level))
     )
 
 
@@ -132,15 +133,12 @@ def data_quality(df: DataFrame) -> DataFrame:
     expected = expected_events(F.col("aggregation_level"))
     few = (events <= 0) | F.coalesce(events < expected * K.LOW_EVENT_SHARE, F.lit(False))
     low = safe_double(F.col("completeness_ratio"), 1.0) < K.LOW_COMPLETENESS
-    reasons = F.array_compact(
-        F.array(
-            F.when(few, "event_count_missing_or_low"),
-            F.when(low, "completeness_ratio_below_0.8"),
-        )
+    reasons = F.concat_ws(
+        "|", F.when(few, "event_count_missing_or_low"), F.when(low, "completeness_ratio_below_0.8")
     )
     return df.withColumns(
         {
-            "data_quality_issue_flag": F.when(F.size(reasons) > 0, 1).otherwise(0),
-            "data_quality_reason": F.when(F.size(reasons) > 0, F.array_join(reasons, "|")).otherwise("normal"),
+            "data_quality_issue_flag": F.when(few | low, 1).otherwise(0),
+            "data_quality_reason": F.when(few | low, reasons).otherwise("normal"),
         }
     )

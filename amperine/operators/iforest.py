@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from amperine.operators.quantiles import exact_quantiles
-from amperine.session import lookup_join, settle
+from amperine.session import level_join, settle
 
 # Python workers get these functions by value, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,7 +52,7 @@ def fit_scaler(df: DataFrame, vector: str = "features", size: int | None = None,
 
 
 def standardise(df: DataFrame, scaler: DataFrame, vector: str = "features") -> DataFrame:
-    joined = lookup_join(df, scaler, [LEVEL])
+    joined = level_join(df, scaler)
     centred = F.zip_with(vector, "mean", lambda x, m: x.cast("double") - m)
     return joined.withColumn(vector, F.zip_with(centred, "scale", lambda x, s: x / s)).drop("mean", "scale")
 
@@ -67,7 +67,7 @@ def _pool(df: DataFrame, key: list[str], trees: int, psi: int, seed: int) -> Dat
     applies it per task before the shuffle.
     """
     counts = df.groupBy(LEVEL).agg(F.count(F.lit(1)).alias("_rows"))
-    rows = lookup_join(df, counts, [LEVEL])
+    rows = level_join(df, counts)
     keep = F.least(F.lit(1.0), F.lit(2.0 * trees * psi) / F.col("_rows"))
     drawn = rows.withColumn("_draw", _uniform(key, seed)).filter(F.col("_draw") < keep)
     rank = F.row_number().over(Window.partitionBy(LEVEL).orderBy("_draw"))
@@ -82,7 +82,7 @@ def _uniform(key: list[Column | str], seed: int) -> Column:
 def _deal(pool: DataFrame, key: list[str], trees: int, psi: int, seed: int) -> DataFrame:
     """Give every tree its own random subset of the pool, slightly above psi rows."""
     sizes = pool.groupBy(LEVEL).agg(F.count(F.lit(1)).alias("_pool"))
-    rows = lookup_join(pool, sizes, [LEVEL])
+    rows = level_join(pool, sizes)
     share = F.lit(1.5 * psi) / F.col("_pool")
     draws = F.transform(
         F.sequence(F.lit(0), F.lit(trees - 1)),
@@ -239,7 +239,7 @@ def fit_iforest(
 def score_iforest(df: DataFrame, forest: Forest) -> DataFrame:
     """Add `iforest_score_raw` (decision value) and `iforest_anomaly`; keeps `features`."""
     scaled = standardise(df.withColumn("_features", F.col("features")), forest.scaler)
-    scored = lookup_join(_anomaly(scaled, forest), forest.calibration.select(LEVEL, "offset"), [LEVEL])
+    scored = level_join(_anomaly(scaled, forest), forest.calibration.select(LEVEL, "offset"))
     decision = -F.col("_s") - F.col("offset")
     return (
         scored.withColumn("iforest_score_raw", decision)

@@ -28,31 +28,30 @@ def _brackets(df: DataFrame, by: list[str], values: list[str], probs: list[float
     return df.groupBy(*by).agg(*aggs)
 
 
-def _marks(i: int, name: str, probs: list[float], accuracy: int) -> list[Column]:
-    """For one value column: one struct per quantile, null where the value lies above.
+def _entry(i: int, name: str, probs: list[float], accuracy: int) -> Column:
+    """What a row adds for one value column, or null where the value is null.
 
-    `value` is null for everything below the bracket, so all of it counts as one entry.
-    Groups small enough to rank whole get no bracket.
+    Inside a bracket the value itself; outside, the upper end of the next lower bracket
+    (null below all of them) marked as not exact, so that such rows collapse before the
+    shuffle. Groups small enough to rank whole keep every value.
     """
     value, n, points = F.col(f"`{name}`").cast("double"), F.col(f"_n{i}"), F.col(f"_p{i}")
-    whole = n <= 10 * accuracy
-    marks = []
-    for j, q in enumerate(probs):
-        low, high = points[2 * j], points[2 * j + 1]
-        below = ~whole & (value < low) & F.lit(q > 0.0)
-        above = ~whole & (value > high) & F.lit(q < 1.0)
-        marks.append(
-            F.when(
-                value.isNotNull() & ~above,
-                F.struct(
-                    F.lit(name).alias("feature"),
-                    F.lit(j).alias("quantile"),
-                    n.alias("n"),
-                    F.when(~below, value).alias("value"),
-                ),
-            )
-        )
-    return marks
+    lows = [points[2 * j] for j in range(len(probs))]
+    highs = [points[2 * j + 1] for j in range(len(probs))]
+    exact = n <= 10 * accuracy
+    for q, low, high in zip(probs, lows, highs):
+        over = F.lit(True) if q <= 0.0 else value >= low
+        under = F.lit(True) if q >= 1.0 else value <= high
+        exact = exact | (over & under)
+    below = [F.when(high.cast("double") < value, high.cast("double")) for high in highs]
+    snapped = F.greatest(*below) if len(below) > 1 else below[0]
+    entry = F.struct(
+        F.lit(i).alias("column"),
+        n.alias("n"),
+        F.when(exact, value).otherwise(snapped).alias("value"),
+        exact.alias("exact"),
+    )
+    return F.when(value.isNotNull(), entry)
 
 
 def exact_quantiles(
@@ -62,7 +61,6 @@ def exact_quantiles(
     """Quantiles as columns `by`, feature, n, and quantiles (array in order of `probs`).
 
     `pick` is 'linear' (interpolate between the neighbours) or 'higher' (take the upper).
-
     Nulls are ignored; a column without values in a group gives no row. `df` is read
     twice, so it should be a table or settled. If the sketch ever failed to bracket a
     rank the job stops instead of returning a wrong value.
@@ -73,35 +71,35 @@ def exact_quantiles(
         return exact_quantiles(one, ["_all"], values, probs, accuracy, pick).drop("_all")
     brackets = _brackets(df, by, values, probs, accuracy)
     keyed = lookup_join(df.select(*by, *columns), brackets, by)
-    marks = [m for i, name in enumerate(values) for m in _marks(i, name, probs, accuracy)]
-    group = [*by, "feature", "quantile"]
+
+    entries = F.array(*[_entry(i, name, probs, accuracy) for i, name in enumerate(values)])
+    group = [*by, "column"]
     counted = (
-        keyed.select(*by, F.explode(F.array_compact(F.array(*marks))).alias("m"))
+        keyed.select(*by, F.explode(entries).alias("m"))
+        .filter(F.col("m").isNotNull())
         .select(*by, "m.*")
-        .groupBy(*group, "n", "value")
+        .groupBy(*group, "n", "value", "exact")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    ordered = Window.partitionBy(*group).orderBy(F.col("value").asc_nulls_first())
-    ranked = counted.withColumn("through", F.sum("rows").over(
-        ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("quantile") + 1)
-    position = prob * (F.col("n") - 1)
-    picked = (
-        ranked.withColumn("position", position)
-        .groupBy(*group, "n", "position")
-        .agg(
-            F.min_by("value", F.when(F.col("through") > F.floor("position"), F.col("through"))).alias("lo"),
-            F.min_by("value", F.when(F.col("through") > F.ceil("position"), F.col("through"))).alias("hi"),
-        )
-    )
-    share = F.col("position") - F.floor("position") if pick == "linear" else F.lit(1.0)
-    exact = F.when(
-        F.col("lo").isNull() | F.col("hi").isNull(),
-        F.raise_error(F.lit("a quantile was not bracketed")).cast("double"),
-    ).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * share)
-    return (
-        picked.select(*group, "n", exact.alias("v"))
-        .groupBy(*by, "feature", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("quantile", "v"))).alias("pairs"))
-        .select(*by, "feature", "n", F.col("pairs.v").alias("quantiles"))
-    )
+    ordered = Window.partitionBy(*group).orderBy(F.col("value").asc_nulls_first(), F.col("exact").desc())
+    through = F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("through", through).withColumn("found", F.struct("value", "exact"))
+    picks = []
+    for j, prob in enumerate(probs):
+        position = F.lit(float(prob)) * (F.col("n") - 1)
+        for end, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            reached = F.when(F.col("through") > rank, F.col("through"))
+            picks.append(F.min_by("found", reached).alias(f"{end}{j}"))
+    picked = ranked.groupBy(*group, "n").agg(*picks)
+
+    def quantile(j: int, prob: float) -> Column:
+        lo, hi = F.col(f"lo{j}"), F.col(f"hi{j}")
+        position = F.lit(float(prob)) * (F.col("n") - 1)
+        share = position - F.floor(position) if pick == "linear" else F.lit(1.0)
+        sure = F.coalesce(lo["exact"] & hi["exact"], F.lit(False))
+        stop = F.raise_error(F.lit("a quantile was not bracketed")).cast("double")
+        return F.when(sure, lo["value"] + (hi["value"] - lo["value"]) * share).otherwise(stop)
+
+    names = F.element_at(F.array(*[F.lit(v) for v in values]), F.col("column") + 1)
+    quantiles = F.array(*[quantile(j, p) for j, p in enumerate(probs)])
+    return picked.select(*by, names.alias("feature"), "n", quantiles.alias("quantiles"))

@@ -33,7 +33,7 @@ def score(
     rows = combine.data_quality(combine.combine_scores(combine.scale_iforest(rows)))
     rows = rows.withColumns(
         {
-            "final_reason": combine.final_reason(rows),
+            "final_reason": combine.final_reason(),
             "recommended_action": combine.recommended_action(F.col("rule_reason"), F.col("iforest_anomaly")),
             "created_at": F.current_timestamp() if created_at is None else created_at,
         }

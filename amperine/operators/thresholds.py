@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from amperine import constants as K
 from amperine.operators.quantiles import ACCURACY, exact_quantiles
-from amperine.session import lookup_join
+from amperine.session import level_join, lookup_join
 
 FEATURES = list(K.RULE_DIRECTIONS)
 
@@ -63,16 +63,36 @@ def fallback_thresholds(thresholds: DataFrame) -> DataFrame:
     )
 
 
+def _limit(lower: Column, upper: Column, iqr: Column, side: Column) -> Column:
+    """Limits in the form the row-wise rule needs.
+
+    `bar` is the bound that triggers (an unreachable one instead of NaN) and `unit` the
+    distance worth 100 points. Both are null where a limit is missing.
+    """
+    infinity = F.lit(float("inf"))
+    usable = iqr.isNotNull() & (iqr != 0) & ~F.isnan(iqr) & (F.abs(iqr) != infinity)
+    unit = F.when(usable, iqr).otherwise(F.greatest(F.abs(F.nanvl(upper - lower, infinity)), F.lit(1e-9)))
+    bar = F.when(side == "high", F.nanvl(upper, infinity)).otherwise(F.nanvl(lower, -infinity))
+    limited = lower.isNotNull() & upper.isNotNull()
+    return F.struct(
+        lower.alias("lower"),
+        upper.alias("upper"),
+        F.when(limited, bar).alias("bar"),
+        F.when(limited, unit).alias("unit"),
+    )
+
+
 def _wide(thresholds: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     """One row per key with one struct of limits per feature."""
-    limits = F.struct("lower", "upper", "iqr")
+    side = _direction(F.col("feature"))
+    limits = _limit(F.col("lower"), F.col("upper"), F.col("iqr"), side)
     return thresholds.groupBy(*keys).agg(
         *[F.max(F.when(F.col("feature") == f, limits)).alias(f"{prefix}{f}") for f in FEATURES]
     )
 
 
 def with_thresholds(df: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Add one struct `limit_<feature>` per rule feature.
+    """Add one struct `limit_<feature>` (lower, upper, bar, unit) per rule feature.
 
     A machine without an entry takes the medians of its level; a feature without any entry
     takes the constants 0, 0 and 1. An entry whose limits are null stays null.
@@ -80,9 +100,9 @@ def with_thresholds(df: DataFrame, thresholds: DataFrame) -> DataFrame:
     own = _wide(thresholds, ["aggregation_level", "equipment_id"], "_own_")
     shared = _wide(fallback_thresholds(thresholds), ["aggregation_level"], "_all_")
     df = lookup_join(df, own, ["aggregation_level", "equipment_id"])
-    df = lookup_join(df, shared, ["aggregation_level"])
+    df = level_join(df, shared)
     constant = F.struct(
-        F.lit(0.0).alias("lower"), F.lit(0.0).alias("upper"), F.lit(1.0).alias("iqr")
+        F.lit(0.0).alias("lower"), F.lit(0.0).alias("upper"), F.lit(0.0).alias("bar"), F.lit(1.0).alias("unit")
     )
     limits = {
         f"limit_{f}": F.coalesce(F.col(f"_own_{f}"), F.col(f"_all_{f}"), constant) for f in FEATURES

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from amperine.plans import aggregates, alerts, reports, scoring
+from functools import wraps
 
-_MODULES = [aggregates, scoring, alerts, reports]
+from amperine.plans import aggregates, alerts, reports, scoring, streams
+from amperine.session import tune
+
+_MODULES = [aggregates, scoring, alerts, reports, streams]
+
+
+def _tuned(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        return query(tune(spark), sf_dir)
+
+    return run
 
 
 def queries() -> dict:
-    return {name: query for module in _MODULES for name, query in module.QUERIES.items()}
+    return {name: _tuned(query) for module in _MODULES for name, query in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -110,14 +110,12 @@ def q_forecast_output(spark, sf_dir):
     return rounded(P.run_forecast(panel, base, seasons=SEASONS).drop("created_at"))
 
 
-def last_hour_mean(history, targets):
-    """Example forecaster: the mean of the last four values."""
-    import pandas as pd
-
-    return pd.DataFrame({"ds": targets, "yhat": history["y"].tail(4).mean()})
+def q_custom_forecast(spark, sf_dir):
+    def last_hour_mean(history, targets):
+        import pandas as pd
 
+        return pd.DataFrame({"ds": targets, "yhat": history["y"].tail(4).mean()})
 
-def q_custom_forecast(spark, sf_dir):
     panel, base = _forecast_input(spark, sf_dir)
     result = P.run_forecast(panel, base, forecasters={"last_hour": last_hour_mean})
     return rounded(result.drop("created_at"))

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amperine.constants import LEVELS
+
 # Rows of a lookup table that may be broadcast. A threshold row is about 300 bytes wide.
 BROADCAST_ROWS = 100_000
 SALTS = 16
@@ -29,7 +31,17 @@ def build_session(cores: str | int = "*", app: str = "amperine", **conf: str) ->
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings the wide row-wise stages profit from on any cluster.
+
+    The JVM does not compile methods above 8000 bytes of code; above that size Spark had
+    better split the expressions into small methods than fuse the whole stage.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -74,6 +86,11 @@ def lookup_join(
     return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
 
 
+def level_join(df: DataFrame, table: DataFrame, level: str = "aggregation_level") -> DataFrame:
+    """Left join to a table with one row per aggregation level: at most four rows."""
+    return df.join(F.broadcast(table.filter(F.col(level).isin(LEVELS))), level, "left")
+
+
 def _hashable(df: DataFrame) -> list[str]:
     simple = ("map<", "variant")
     return [
