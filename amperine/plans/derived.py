@@ -69,8 +69,14 @@ def aggregate(spark: SparkSession, sf_dir: str, level: str, **options) -> DataFr
 
 
 def scoring_rows(spark: SparkSession, sf_dir: str, levels: list[str] = K.LEVELS) -> DataFrame:
-    """Scoring input of several levels from one pass over the readings."""
-    states = settle(reading_states(readings(spark, sf_dir)))
+    """Scoring input of several levels from one pass over the readings.
+
+    The minute states are a twelfth of the readings or less; written once, they feed all
+    levels.
+    """
+    states = reading_states(readings(spark, sf_dir))
+    if len(levels) > 1:
+        states = settle(states)
     width = lambda level: None if level == "1m" else K.LEVEL_WIDTHS[level]
     parts = [model_input(from_states(states, width(lv)), lv) for lv in levels]
     return reduce(DataFrame.unionByName, parts)

@@ -62,9 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder once, so later passes do not recompute them."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and read that instead.
+
+    Later passes then neither recompute the rows nor read columns they do not need, and
+    losing an executor loses nothing. The folder is the cluster's checkpoint folder, whose
+    contents are temporary.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lookup_join(
