@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from dataclasses import dataclass, field
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -117,7 +118,7 @@ def _grow_tree(x: np.ndarray, psi: int, rng: np.random.Generator) -> list[tuple]
 
 
 def _grower(psi: int, seed: int):
-    def grow(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         level, tree = key
         rows = rows.sort_values("draw").head(psi)  # the sampling operator: psi rows a tree
         x = np.array(rows["features"].tolist(), dtype=float)

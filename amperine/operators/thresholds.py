@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +73,9 @@ def _limit(lower: Column, upper: Column, iqr: Column, side: Column) -> Column:
     """
     infinity = F.lit(float("inf"))
     usable = iqr.isNotNull() & (iqr != 0) & ~F.isnan(iqr) & (F.abs(iqr) != infinity)
-    unit = F.when(usable, iqr).otherwise(F.greatest(F.abs(F.nanvl(upper - lower, infinity)), F.lit(1e-9)))
+    # unbounded widths become the largest number, so that no score turns into NaN
+    width = F.least(F.abs(F.nanvl(upper - lower, infinity)), F.lit(sys.float_info.max))
+    unit = F.when(usable, iqr).otherwise(F.greatest(width, F.lit(1e-9)))
     bar = F.when(side == "high", F.nanvl(upper, infinity)).otherwise(F.nanvl(lower, -infinity))
     limited = lower.isNotNull() & upper.isNotNull()
     return F.struct(

@@ -25,8 +25,11 @@ def with_event_time(
 
     Spark windows are [start, end). Moving every time back by one microsecond turns them
     into (start, end] with the same end label. The watermark goes onto the moved column,
-    because a window over any other expression would lose it.
+    because a window over any other expression would lose it. A stream that has the column
+    already (from de-duplication) keeps it with its watermark.
     """
+    if df.isStreaming and "_event_time" in df.columns:
+        return df
     event_time = F.col(time_col)
     if df.isStreaming:
         event_time = event_time.cast("timestamp")  # watermarks need the zoned type
