@@ -17,6 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from amperine.constants import LEVELS
 from amperine.operators.quantiles import exact_quantiles
 from amperine.session import level_join, settle
 
@@ -81,17 +82,19 @@ def _uniform(key: list[Column | str], seed: int) -> Column:
 
 
 def _deal(pool: DataFrame, key: list[str], trees: int, psi: int, seed: int) -> DataFrame:
-    """Give every tree its own random subset of the pool, slightly above psi rows."""
+    """Deal every pool row to as many trees as give each tree about 1.5 * psi rows.
+
+    Large levels deal each row once; small ones deal it several times, up to all trees.
+    """
     sizes = pool.groupBy(LEVEL).agg(F.count(F.lit(1)).alias("_pool"))
     rows = level_join(pool, sizes)
-    share = F.lit(1.5 * psi) / F.col("_pool")
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree"), _uniform([*key, t], seed + 1).alias("draw")),
+    times = F.ceil(F.lit(1.5 * trees * psi) / F.col("_pool")).cast("int")
+    dealt = F.transform(
+        F.sequence(F.lit(1), times),
+        lambda i: F.pmod(F.xxhash64(*key, i, F.lit(seed + 1)), F.lit(trees)).cast("int"),
     )
-    chosen = F.filter(draws, lambda d: d["draw"] < share)
-    return rows.select(LEVEL, "features", F.explode(chosen).alias("d")).select(
-        LEVEL, "features", "d.tree", "d.draw"
+    return rows.select(LEVEL, *key, "features", F.explode(F.array_distinct(dealt)).alias("tree")).select(
+        LEVEL, "features", "tree", _uniform([*key, "tree"], seed + 2).alias("draw")
     )
 
 
@@ -228,9 +231,10 @@ def fit_iforest(
     scaler = settle(fit_scaler(df))
     scaled = settle(standardise(df.select(LEVEL, *[k for k in key if k != LEVEL], "features"), scaler))
     pool = settle(_pool(scaled, key, trees, psi, seed))
-    nodes = settle(
-        _deal(pool, key, trees, psi, seed).groupBy(LEVEL, "tree").applyInPandas(_grower(psi, seed), _NODES)
-    )
+    # a fixed number of partitions: growing costs time, not bytes, so coalescing would idle cores
+    tasks = min(len(LEVELS) * trees, df.sparkSession.sparkContext.defaultParallelism)
+    dealt = _deal(pool, key, trees, psi, seed).repartition(tasks, LEVEL, "tree")
+    nodes = settle(dealt.groupBy(LEVEL, "tree").applyInPandas(_grower(psi, seed), _NODES))
     forest = Forest(nodes, scaler, calibration=scaler, trees=trees, psi=psi)
     scores = settle(_anomaly(scaled, forest).select(LEVEL, "_s"))
     forest.calibration = settle(calibrate(scores, contamination))

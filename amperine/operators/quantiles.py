@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperine.session import lookup_join
+from amperine.session import level_join, lookup_join
 
 ACCURACY = 10_000
 _SLACK = 4  # bracket half-width in units of the sketch error
@@ -70,7 +70,13 @@ def exact_quantiles(
         one = df.select(*columns, F.lit(1).alias("_all"))
         return exact_quantiles(one, ["_all"], values, probs, accuracy, pick).drop("_all")
     brackets = _brackets(df, by, values, probs, accuracy)
-    keyed = lookup_join(df.select(*by, *columns), brackets, by)
+    rows = df.select(*by, *columns)
+    if by == ["_all"]:
+        keyed = rows.join(F.broadcast(brackets), by)  # one row
+    elif by == ["aggregation_level"]:
+        keyed = level_join(rows, brackets)
+    else:
+        keyed = lookup_join(rows, brackets, by)
 
     entries = F.array(*[_entry(i, name, probs, accuracy) for i, name in enumerate(values)])
     group = [*by, "column"]

@@ -123,16 +123,19 @@ def reading_states(df: DataFrame, width: str = "1 minute", **timing) -> DataFram
         "avg_current_imbalance_rate": imbalance_rate("current"),
         "avg_activePower": try_double(F.col("activePower")),
     }
-    power, counter = values["avg_activePower"], try_double(F.col("accumActiveEnergy"))
+    # computed once below the aggregate, where each is used by a sum and a count
+    values["counter"] = try_double(F.col("accumActiveEnergy"))
+    df = df.withColumns({f"_{name}": value for name, value in values.items()})
     states = [
         column
-        for name, value in values.items()
-        for column in (F.sum(value).alias(f"sum_{name}"), F.count(value).alias(f"n_{name}"))
+        for name in values
+        if name != "counter"
+        for column in (F.sum(f"_{name}").alias(f"sum_{name}"), F.count(f"_{name}").alias(f"n_{name}"))
     ]
     states += [
-        F.max(power).alias("max_power"),
-        F.min(counter).alias("min_counter"),
-        F.max(counter).alias("max_counter"),
+        F.max("_avg_activePower").alias("max_power"),
+        F.min("_counter").alias("min_counter"),
+        F.max("_counter").alias("max_counter"),
         F.count(F.lit(1)).alias("event_count"),
     ]
     grouped = tumbling(df, width, **timing).agg(*states)
