@@ -16,7 +16,7 @@ from amperine.plans.derived import MODULES, rounded, scoring_rows, with_raw_deci
 from amperine.session import settle
 from amperine.sources.payloads import decode_payloads
 
-RULE_K = 0.5  # narrow limits, so that many rows trigger
+RULE_K = 0.45  # narrow limits, so that many rows trigger; 0.5 would put limits on values of pairs
 _ID = ["equipment_id", "window_end_time", "aggregation_level"]
 
 
