@@ -14,6 +14,7 @@ other columns are not read, whatever their names.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -21,7 +22,6 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import re
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,18 +36,22 @@ WIDTH = 6
 SCAN = 48
 STEPS_PER_SEQUENCE = 2
 # Words whose ids a Python worker remembers; about 200 bytes each.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 
+_SIGNS = ".,;:!?*#$%&|<>()[]{}"
 _WORDS = re.compile(r"[^ \t-\r]+")
 _tokenizers: dict[str, tuple] = {}
 
 
 def _encoder(path: str):
-    """Tokenizer and word cache of this worker; both outlive a task."""
+    """Tokenizer, which ids end a word, and word cache of this worker; all outlive a task."""
     if path not in _tokenizers:
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
+        tokenizer = Tokenizer.from_file(path)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        _tokenizers[path] = (tokenizer, ends, {})
     return _tokenizers[path]
 
 
@@ -59,7 +63,7 @@ def word_ids(texts: list[str], path: str) -> list[bytes]:
     word is encoded once per worker. Texts with a character whose treatment depends on its
     neighbours across a blank are encoded whole.
     """
-    tokenizer, cache = _encoder(path)
+    tokenizer, ends, cache = _encoder(path)
     if len(cache) > CACHE_WORDS:
         cache.clear()
     out, split, whole = [b""] * len(texts), {}, []
@@ -68,8 +72,19 @@ def word_ids(texts: list[str], path: str) -> list[bytes]:
             split[i] = _parts(text)
         else:
             whole.append(i)
-    new = list({w for words in split.values() for w in words if w not in cache})
-    for word, got in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+    new = {w for words in split.values() for w in words if w not in cache}
+    # a word of letters is one unit of the tokenizer, whose last id closes it
+    letters = [w for w in new if w.isalpha()]
+    joined = tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids
+    joined = np.asarray(joined, "<u4")
+    closed = np.flatnonzero(ends[joined]) + 1
+    others = list(new) if len(closed) != len(letters) else [w for w in new if not w.isalpha()]
+    if len(closed) == len(letters):
+        data, begin = joined.tobytes(), 0
+        for word, end in zip(letters, (4 * closed).tolist()):
+            cache[word] = data[begin:end]
+            begin = end
+    for word, got in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False)):
         cache[word] = np.asarray(got.ids, "<u4").tobytes()
     for i, words in split.items():
         out[i] = b"".join(map(cache.__getitem__, words))
@@ -85,14 +100,15 @@ _CONTEXT = re.compile("[İΣ̀-ͯ᪰-᫿᷀-᷿⃐-⃿︠-︯"
 
 
 def _parts(text: str) -> list[str]:
-    """Words in lower case, a single full stop or comma after a letter on its own."""
+    """Words in lower case, signs after a run of letters on their own."""
     parts = []
     for word in _WORDS.findall(text.lower()):
-        if word[-1] in ".," and word[-2:-1].isalpha():
-            parts.append(word[:-1])
-            parts.append(word[-1])
-        else:
-            parts.append(word)
+        if not word.isalpha():
+            stem = word.rstrip(_SIGNS)
+            if stem != word and stem.isalpha():
+                parts.append(stem)
+                word = word[len(stem):]
+        parts.append(word)
     return parts
 
 
