@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +25,14 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, key: str, rows: int, seed: int = 1) -> DataFrame:
-    """At most `rows` rows for fitting, picked by a hash of the key and so alike in every run.
+def labelled_sample(rows: DataFrame, key: str, bound: int, seed: int = 1) -> DataFrame:
+    """About `bound` rows for fitting and at most twice as many, picked by a hash of the key.
 
-    The bound is on training rows only; nothing else is sampled. Spark keeps the best
-    `rows` of every task, so no task or driver holds more than that.
+    Every row passes the same test, so nothing is sorted or gathered and reruns agree. The
+    limit is reached only if one key holds a large part of all rows.
     """
-    return docs.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(rows)
+    share = min(1.0, bound / max(1, rows.count()))
+    return rows.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2**30)) < int(share * 2**30)).limit(2 * bound)
 
 
 def spread_lookup(
@@ -52,28 +52,26 @@ def spread_lookup(
     return served.unionByName(others.join(light, key, "left").select(served.columns))
 
 
-def text_bytes(column: pa.Array) -> Iterator[bytes]:
-    """UTF-8 of every text of a batch; null counts as empty."""
-    for value in column.cast(pa.binary()):
-        yield value.as_py() or b""
+def by_text(
+    texts: list[str | None], count: Callable[[list[str]], np.ndarray],
+    chars: int = 1 << 20, most: int = 256,
+) -> Iterator[np.ndarray]:
+    """count(texts), one row per text, for runs of a batch's texts in order.
 
-
-def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts' code points in one array, and the offsets at which the texts begin."""
-    joined = "".join(texts).encode("utf-32-le", "surrogatepass")
-    lengths = np.fromiter((len(t) for t in texts), np.int64, len(texts))
-    return np.frombuffer(joined, np.uint32), np.concatenate([[0], np.cumsum(lengths)])
-
-
-def slices(batch: pa.RecordBatch, chars: int, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with about `chars` bytes of text, one row at least."""
-    sizes = np.fromiter((len(v) for v in text_bytes(batch.column(text))), np.int64, len(batch))
-    cut, start, held = [0], 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > chars:
-            cut.append(i)
-            held = 0
-        held += size
-    for start, end in zip(cut, [*cut[1:], len(batch)]):
-        if end > start:
-            yield batch.slice(start, end - start)
+    A run has at most `most` texts and about `chars` characters, so memory is bounded. A
+    longer text is a run of its own, the sum of the counts of its pieces.
+    """
+    run: list[str] = []
+    held = 0
+    for value in texts:
+        value = value or ""
+        if run and (held + len(value) > chars or len(run) == most):
+            yield count(run)
+            run, held = [], 0
+        if len(value) > chars:
+            yield sum(count([value[at : at + chars]]) for at in range(0, len(value), chars))
+        else:
+            run.append(value)
+            held += len(value)
+    if run:
+        yield count(run)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from amperine.llm import exact, mixing, packing
+from amperine.llm import exact, language, mixing, packing
 from amperine.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,7 +23,13 @@ def op7_exact_dedup(spark, sf_dir):
     return exact.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_best_fit_packing, op3_source_mixing, op7_exact_dedup)}
+def op9_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (
+    op1_best_fit_packing, op3_source_mixing, op7_exact_dedup, op9_language_id,
+)}
 
 SQL = {
     "op3_source_mixing": mixing.SQL,
