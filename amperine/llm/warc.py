@@ -159,15 +159,22 @@ class _Window:
             self.at, self.data = at, self.source.read(max(size, CHUNK))
         return self.data[at - self.at : at - self.at + size]
 
+    def next(self, at: int, size: int = 1 << 14) -> bytes:
+        """At most `size` bytes from a position; fewer where the chunk in hand ends."""
+        if not self.at <= at < self.at + len(self.data):
+            return self.get(at, size)
+        return self.data[at - self.at : at - self.at + size]
+
 
 def members(source, start: int, end: int) -> Iterator[tuple[int, bytes]]:
     """Position and content of the WARC members of a file that start in [start, end)."""
     window, at = _Window(source), start
+    end = min(end, window.size)
     while at < end:
         if window.get(at, 3) != MAGIC:
             found = window.get(at, CHUNK).find(MAGIC)
             if found < 0:
-                at += max(1, min(CHUNK, window.size - at) - 2)
+                at += max(1, min(CHUNK, window.size - at) - 2)  # magic may straddle two chunks
                 continue
             at += found
             if at >= end:
@@ -187,7 +194,7 @@ def _decode(window: _Window, at: int) -> tuple[bytes | None, int]:
     """Content and length of the member at a position; None if it does not decode to its end."""
     unpacker, parts, place = zlib.decompressobj(31), [], at
     while not unpacker.eof:
-        data = window.get(place, CHUNK)
+        data = window.next(place)
         if not data:
             return None, 0
         try:
