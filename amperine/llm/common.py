@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from amperine.session import scratch_path
+
 # A word is a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,6 +18,13 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Writes rows with whole texts to the shared folder, well packed, and reads them back."""
+    path = scratch_path(df.sparkSession, "texts")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperine.llm.common import spread_lookup
+from amperine.llm.common import spread_lookup, stored
 from amperine.session import settle
 
 # A chunk ends after the first blank that follows one of these letters, 512 to 4096
@@ -55,7 +55,7 @@ def recipes(docs: DataFrame, text: str, digests=DIGESTS, carry: list[str] = ())
     else:
         raise ValueError("two chunks share every digest that was offered")
     value = F.coalesce(F.col(text), F.lit(""))
-    return settle(docs.select(
+    return stored(docs.select(
         F.monotonically_increasing_id().alias("_row"),
         F.transform(chunks(F.col(text)), digest).alias("recipe"),
         F.sha2(value, 256).alias("text_sha256"),

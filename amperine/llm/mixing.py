@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperine.llm.common import word_count
+from amperine.llm.common import stored, word_count
 from amperine.session import settle
 
 WEIGHTS = (5, 2, 1)
@@ -124,7 +124,7 @@ def mix_plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their columns as they came."""
-    held = settle(docs.select(
+    held = stored(docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"),
         F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.struct("*").alias("_doc"),
     ))

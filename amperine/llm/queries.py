@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from amperine.llm import exact, language, mixing, packing, quality, rules, toxicity, urls, warc
+from amperine.llm import exact, language, minhash, mixing, packing, quality, rules, toxicity, urls, warc
 from amperine.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -15,6 +15,10 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op2_minhash_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
 def op3_source_mixing(spark, sf_dir):
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -63,7 +67,7 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_best_fit_packing, op3_source_mixing, op4_quality_classifier, op5_toxicity, op6_quality_rules,
+    op1_best_fit_packing, op2_minhash_dedup, op3_source_mixing, op4_quality_classifier, op5_toxicity, op6_quality_rules,
     op7_exact_dedup, op8_url_filters, op9_language_id, op10_warc,
 )}
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperine.llm.common import spread_lookup
+from amperine.llm.common import spread_lookup, stored
 from amperine.session import scratch_path, settle
 
 MAGIC = b"\x1f\x8b\x08"
@@ -112,7 +112,7 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Writes the archive; returns its files as a table of file, bytes and records."""
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
-    held = settle(pages.select(
+    held = stored(pages.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(key).cast("string").alias("page"),
         F.col(url).alias("url"), payload.alias("payload"),
         F.concat(F.sha2(payload, 256), F.sha1(payload), F.octet_length(payload).cast("string")).alias("same"),
