@@ -9,9 +9,9 @@ MISS (uniform prior). What is left is confirmed on the full sets, made from the
 Not all pairs of a bucket are needed to know the groups. A bucket's members are first
 compared with one of them, again with another, and only members that are in different
 groups after that are compared with each other, in blocks of BLOCK members spread over the
-tasks. These comparisons end in the block: only surviving pairs leave it. So large groups of
-copies cost a few comparisons per member, and no candidate pair that could join two groups
-is left out.
+tasks. These comparisons end in the block: only links that join groups leave it. So large
+groups of copies cost a few comparisons per member, and no candidate pair that could join
+two groups is left out.
 
 Defined results: a null or empty text, or one of blanks, has no shingle and no link; so has a
 null key, which is its own group with a null component; repeated rows are in one group, all
@@ -44,7 +44,7 @@ ROWS = 5
 HASHES = BANDS * ROWS
 BATCH = 32
 MISS = 1e-6
-STAR_ROUNDS = 2
+STAR_TURNS = 2
 BLOCK = 512
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -164,7 +164,9 @@ def signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs a, b that pass the size bound and the batches of the Bayesian test."""
     one = classes.select("row", "signature", "n_shingles")
-    both = pairs.join(one.toDF("b", "sig_b", "n_b"), "b").join(one.toDF("a", "sig_a", "n_a"), "a")
+    both = pairs.hint("merge").join(one.toDF("b", "sig_b", "n_b"), "b").hint("merge").join(
+        one.toDF("a", "sig_a", "n_a"), "a"
+    )
     sized = both.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,11 +180,9 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Pairs whose full sets are similar enough; `texts` has row and text."""
-    pairs = settle(pairs)
-    rows = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    # only texts that are compared are moved more than once
-    own = stored(texts.join(rows, "row", "left_semi"))
-    both = pairs.join(own.toDF("b", "text_b"), "b").join(own.toDF("a", "text_a"), "a")
+    both = pairs.hint("merge").join(texts.toDF("b", "text_b"), "b").hint("merge").join(
+        texts.toDF("a", "text_a"), "a"
+    )
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
@@ -201,58 +201,100 @@ def _linked(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """Buckets with two or more classes: bucket, row."""
-    every = classes.select("row", F.explode("bands").alias("bucket"))
+    """Buckets with two or more classes: band, bucket, row, n (classes of the bucket)."""
+    every = classes.select("row", F.posexplode("bands").alias("band", "bucket"))
     shared = every.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    return settle(every.join(shared.select("bucket"), "bucket", "left_semi"))
-
-
-def _open_members(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members, with their group, of buckets whose members are in more than one group."""
-    if labels is None:
-        return members.withColumn("label", F.col("row"))
-    # three or more: the one pair of a bucket of two has been compared
-    named = labels.select(F.col("node").alias("row"), "label")
-    rows = settle(members.join(named, "row", "left").withColumn("label", F.coalesce("label", "row")))
-    several = rows.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")
-    ).filter("low <> high and n > 2")
-    return settle(rows.join(several.select("bucket", "n"), "bucket"))
+    return settle(every.join(shared, "bucket"))
 
 
-def _star(members: DataFrame, turn: int) -> DataFrame:
-    """Each member with one member of its bucket, another one every turn."""
-    order = F.xxhash64(F.lit(turn), "row") if turn else F.col("row")
-    centres = members.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), F.col("row").alias("a"), F.col("label").alias("own"))).alias("c"))
+def _star(members: DataFrame, order: int) -> DataFrame:
+    """Each member with one member of its bucket; another one for another `order`."""
+    place = F.xxhash64(F.lit(order), "row")
+    centres = members.groupBy("bucket").agg(
+        F.min(F.struct(place.alias("o"), F.col("row").alias("a"), F.col("label").alias("own"))).alias("c")
+    )
     return members.join(centres, "bucket").filter("label <> c.own").select(
         F.least("row", "c.a").alias("a"), F.greatest("row", "c.a").alias("b")
     ).distinct()
 
 
-def _between(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs of members of one bucket that are in different groups, compared in blocks."""
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their group, of buckets of three or more in more than one group.
+
+    The one pair of a bucket of two has been compared in the first turn.
+    """
+    named = labels.select(F.col("node").alias("row"), "label")
+    rows = settle(members.filter("n > 2").join(named, "row", "left").withColumn("label", F.coalesce("label", "row")))
+    several = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return settle(rows.join(several.select("bucket"), "bucket", "left_semi"))
+
+
+def _between(members: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Links between the groups of a bucket, from comparing its members in blocks.
+
+    Members come with signature and full hashed set. A block emits a link only if it joins
+    two groups that nothing in the block has joined before: fewer links than members. A
+    pair is compared in the first band it shares.
+    """
+    def hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [hashed_shingles(t.as_py(), size).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["row", "set"])
+
+    rows = members.select("row").distinct()
+    sets = texts.join(rows, "row", "left_semi").select("row", "text").mapInArrow(hash_sets, "row long, set binary")
+    details = settle(
+        sets.join(classes.select("row", "signature", "bands"), "row").withColumnRenamed("row", "_row")
+    )
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("row"), blocks.cast("long")).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     dealt = members.withColumn("own", own).select("*", other).select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "row", "label",
-    ).join(classes.select("row", "signature"), "row")
+        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "band", "row", "label",
+    )
     place = ["bucket", "i", "j"]
+    full = dealt.hint("merge").join(details, F.col("row") == F.col("_row")).repartition(*place).sortWithinPartitions(*place)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _runs(batches):
-            row = block.column("row").to_numpy()
-            label, sig = block.column("label").to_numpy(), _matrix(block.column("signature"))
-            found = []
-            for k in range(len(row) - 1):
-                rest = k + 1 + np.flatnonzero(label[k + 1 :] != label[k])
-                near = rest[still_likely(np.broadcast_to(sig[k], (len(rest), HASHES)), sig[rest])]
-                found += [(min(row[k], r), max(row[k], r)) for r in row[near]]
+            found = _joining(block)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    sorted_rows = dealt.repartition(*place).sortWithinPartitions(*place).select(*place, "row", "label", "signature")
-    return sorted_rows.mapInArrow(compare, "a long, b long").distinct()
+    return full.select(*place, "band", "row", "label", "signature", "bands", "set").mapInArrow(
+        compare, "a long, b long"
+    ).distinct()
+
+
+def _joining(block: pa.Table) -> list[tuple[int, int]]:
+    """Links of a block that join groups, at most one less than it has groups."""
+    row, band = block.column("row").to_numpy(), block.column("band")[0].as_py()
+    _, group = np.unique(block.column("label").to_numpy(), return_inverse=True)
+    if not group.any():
+        return []
+    sig = _matrix(block.column("signature"))
+    lower = np.array(block.column("bands").to_pylist(), np.int64)[:, :band]
+    sets = [np.frombuffer(s, np.uint64) for s in block.column("set").to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+    found = []
+    for k in range(len(row) - 1):
+        rest = k + 1 + np.flatnonzero(group[k + 1 :] != group[k])
+        rest = rest[100 * np.minimum(sizes[rest], sizes[k]) >= PERCENT * np.maximum(sizes[rest], sizes[k])]
+        rest = rest[~(lower[rest] == lower[k]).any(1)]
+        rest = rest[still_likely(np.broadcast_to(sig[k], (len(rest), HASHES)), sig[rest])]
+        for other in rest:
+            if group[other] != group[k]:
+                common = _common(sets[k], sets[other])
+                if 100 * common >= PERCENT * (sizes[k] + sizes[other] - common):
+                    found.append((min(row[k], row[other]), max(row[k], row[other])))
+                    group[group == group[other]] = group[k]
+    return found
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    at = np.searchsorted(a, b)
+    at[at == len(a)] = 0
+    return int((a[at] == b).sum())
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -264,30 +306,31 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         keys = np.stack([rows.column(i).to_numpy() for i in range(3)], 1)
         cut = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist()]
         for start, end in zip(cut, cut[1:]):
-            yield rows.slice(start, end - start)
+            if end - start > 1:
+                yield rows.slice(start, end - start)
         left = rows.slice(cut[-1]) if len(rows) else left
-    if left is not None and len(left):
+    if left is not None and len(left) > 1:
         yield left
 
 
-def links(classes: DataFrame, texts: DataFrame, size: int) -> DataFrame | None:
-    """Confirmed links between classes that connect every group; node labels of the groups."""
+def links(classes: DataFrame, table: DataFrame, size: int) -> DataFrame:
+    """node and label of every class that is linked; `table` has row and text."""
     members = _members(classes)
-    found, tested, labels = None, None, None
-    for turn in range(STAR_ROUNDS + 1):
-        rows = _open_members(members, labels)
-        pairs = _star(rows, turn) if turn < STAR_ROUNDS else _between(rows, classes)
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settle(pairs)
-        if pairs.isEmpty() and turn:
-            if turn == STAR_ROUNDS:
-                break
-            continue
-        new = _linked(_likely(pairs, classes), texts, size)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = new if found is None else found.unionByName(new)
+    pairs = settle(_likely(_star(members.withColumn("label", F.col("row")), 0), classes))
+    # every text that any later step compares, in one pass over the texts
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("row")).union(members.filter("n > 2").select("row"))
+    texts = stored(table.join(needed.distinct().hint("shuffle_hash"), "row", "left_semi"))
+    found, tested = _linked(pairs, texts, size), pairs
+    labels = components(found)
+    for turn in range(1, STAR_TURNS):
+        pairs = _star(_open(members, labels), turn).join(tested, ["a", "b"], "left_anti")
+        pairs = settle(_likely(pairs, classes))
+        if pairs.isEmpty():
+            break
+        found, tested = found.unionByName(_linked(pairs, texts, size)), tested.unionByName(pairs)
         labels = components(found)
-    return labels
+    between = settle(_between(_open(members, labels), classes, texts, size))
+    return components(found.unionByName(_linked(between, texts, size)))
 
 
 def grouped(docs: DataFrame, key: str, text: str, size: int) -> tuple[DataFrame, DataFrame]:
