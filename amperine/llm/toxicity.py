@@ -182,7 +182,7 @@ def classify(
     schema = ", ".join(f"`{c}` long" for c in categories) + ", bits binary"
     got = sample.select(text, *categories).mapInArrow(featurise, schema).collect()
     got.sort(key=lambda r: (bytes(r.bits), *[-1 if v is None else v for v in r[:-1]]))
-    bits = np.frombuffer(b"".join(bytes(r.bits) for r in got), np.uint8).reshape(len(got), -1)
+    bits = np.frombuffer(b"".join(bytes(r.bits) for r in got), np.uint8).reshape(len(got), -(-len(chosen) // 8))
     x = np.unpackbits(bits, axis=1)[:, : len(chosen)].astype(np.float32)
     y = np.array([[-1 if v is None else v for v in r[:-1]] for r in got], np.int64).reshape(-1, len(categories))
     model = context.broadcast((chosen, fit_chain(x, y)))
