@@ -87,10 +87,23 @@ def duplicate_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", d
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their columns as they came."""
-    listed = recipes(
-        docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct("*").alias("_doc")),
-        "_text", carry=["_key", "_doc"],
+    """The documents that stay, with their columns as they came.
+
+    Only keys and digests of the rows that go are joined to the documents, so texts are not
+    copied to a working table. Rows that repeat both key and text of a row that stays, if
+    there are any, are put together afterwards.
+    """
+    listed = recipes(docs, text, carry=[F.col(key).alias("_key")])
+    rows = decide(listed.select("_row", "recipe", "_key", "text_sha256"), "_key").filter(~F.col("kept"))
+    twin = F.col("_key").eqNullSafe(F.col("keep_id"))
+    gone = settle(rows.select("_key", "text_sha256", twin.alias("twin")).distinct())
+    named = docs.select(
+        F.struct("*").alias("_doc"), F.col(key).alias("_k"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_s")
     )
-    gone = decide(listed.select("_row", "recipe", "_key"), "_key").filter(~F.col("kept"))
-    return listed.join(gone.select("_row"), "_row", "left_anti").select("_doc.*")
+    same = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_s") == F.col("text_sha256"))
+    left = named.join(gone.filter("not twin"), same, "left_anti")
+    twins = gone.filter("twin")
+    if twins.isEmpty():
+        return left.select("_doc.*")
+    once = left.join(twins, same, "left_semi").groupBy("_k", "_s").agg(F.first("_doc").alias("_doc"))
+    return left.join(twins, same, "left_anti").select("_doc").unionByName(once.select("_doc")).select("_doc.*")

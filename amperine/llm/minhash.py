@@ -127,15 +127,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), HASHES)
 
 
-def signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """Written table of row, key, n_shingles, digest, signature, bands and all of docs' columns.
+def signed(docs: DataFrame, text: str, size: int) -> DataFrame:
+    """Written table of row, n_shingles, digest, signature, bands and all of docs' columns.
 
-    docs: columns key and text, and any others to be carried. `row` differs from row to row.
+    The text is the field `text` of the struct `_doc`. `row` differs from row to row.
     """
     fields = [("row", T.LongType()), ("n_shingles", T.LongType()), ("digest", T.BinaryType()),
               ("signature", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
     schema = T.StructType([*docs.schema.fields, *[T.StructField(*f) for f in fields]])
-    place = docs.columns.index(text)
+    place = docs.columns.index("_doc")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
@@ -143,7 +143,7 @@ def signed(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
             for at in range(0, len(batch), 512):
                 part = batch.slice(at, 512)
                 out = []
-                for value in part.column(place):
+                for value in part.column(place).field(text):
                     hashes = hashed_shingles(value.as_py(), size)
                     row += 1
                     if len(hashes):
@@ -335,14 +335,14 @@ def links(classes: DataFrame, table: DataFrame, size: int) -> DataFrame:
 
 def grouped(docs: DataFrame, key: str, text: str, size: int) -> tuple[DataFrame, DataFrame]:
     """The signed table, and digest, component, keep_row and copies of all its sets."""
-    table = signed(docs, key, text, size)
+    table = signed(docs, text, size)
     # one row per distinct set: copies are put together before anything is compared
     sets = table.filter(F.col("digest").isNotNull() & F.col(key).isNotNull()).groupBy("digest").agg(
         F.min(F.struct(F.col(key).alias("id"), "row", "signature", "bands", "n_shingles")).alias("s"),
         F.count("*").alias("copies"),
     )
     classes = settle(sets.select("digest", "copies", "s.*"))
-    labels = links(classes, table.select("row", F.col(text).alias("text")), size)
+    labels = links(classes, table.select("row", F.col("_doc")[text].alias("text")), size)
     named = classes.select("digest", "copies", "row", "id").join(
         labels.select(F.col("node").alias("row"), "label"), "row", "left"
     ).withColumn("label", F.coalesce("label", "row"))
@@ -355,11 +355,11 @@ def grouped(docs: DataFrame, key: str, text: str, size: int) -> tuple[DataFrame,
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """One row per document: key, n_shingles, component_id and kept."""
-    table, groups = grouped(docs.select(key, text), key, text, size)
-    rows = _with_group(table.select("row", key, "n_shingles", "digest"), key, groups)
+    table, groups = grouped(docs.select(F.col(key).alias("_key"), F.struct(text).alias("_doc")), "_key", text, size)
+    rows = _with_group(table.select("row", "_key", "n_shingles", "digest"), "_key", groups)
     return rows.select(
-        key, "n_shingles", F.coalesce("component", key).alias("component_id"),
-        (F.col("component").isNull() | (F.col("component") == F.col(key))).alias("kept"),
+        F.col("_key").alias(key), "n_shingles", F.coalesce("component", "_key").alias("component_id"),
+        (F.col("component").isNull() | (F.col("component") == F.col("_key"))).alias("kept"),
     )
 
 
@@ -372,7 +372,7 @@ def _with_group(rows: DataFrame, key: str, groups: DataFrame) -> DataFrame:
 
 def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """The documents without the near copies of another, with their columns as they came."""
-    held = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct("*").alias("_doc"))
-    table, groups = grouped(held, "_key", "_text", size)
+    held = docs.select(F.col(key).alias("_key"), F.struct("*").alias("_doc"))
+    table, groups = grouped(held, "_key", text, size)
     gone = _with_group(table.select("row", "_key", "digest"), "_key", groups).filter("keep_row <> row")
     return table.join(gone.select("row"), "row", "left_anti").select("_doc.*")
