@@ -103,9 +103,13 @@ def pending_alerts(
 def apply_dispatch_results(queue: DataFrame, results: DataFrame, as_of) -> DataFrame:
     """New queue state from results (alert_id, error); a null error means sent.
 
-    Alerts without a result keep their state.
+    Alerts without a result keep their state. Delivery is at least once, so an alert may
+    have several results: it counts as sent if one of them says so, and stays one row.
     """
-    marked = results.select("alert_id", F.col("error").alias("_error"), F.lit(True).alias("_tried"))
+    once = results.groupBy("alert_id").agg(F.max(F.col("error").isNull()).alias("_sent"), F.max("error").alias("_last"))
+    marked = once.select(
+        "alert_id", F.when(~F.col("_sent"), F.col("_last")).alias("_error"), F.lit(True).alias("_tried")
+    )
     joined = queue.join(marked, "alert_id", "left")
     tried = F.coalesce("_tried", F.lit(False))
     failed = tried & F.col("_error").isNotNull()

@@ -39,7 +39,7 @@ def predictions(spark, sf_dir):
 
 
 def forest_rows(spark, sf_dir):
-    rows = derive_features(scoring_rows(spark, sf_dir, ["15m", "1h", "1d"]))
+    rows = derive_features(scoring_rows(spark, sf_dir, ["1m", "15m", "1h", "1d"]))
     return settle(feature_vector(rows, MODULES))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from amperine import constants as K
 from amperine.functions.timestamps import report_date
 from amperine.operators import report as R
-from amperine.operators.merge import cut_error, latest_by_key, not_sent
+from amperine.operators.merge import latest_by_key, not_sent
 from amperine.schemas import SEND_LOG
 from amperine.sources.readings import ready_dates
 from amperine.streaming.sinks import read_batches, start, write_batch
@@ -41,7 +41,7 @@ def report_batch(
     status = F.when(waiting, "WAITING").when(F.col("error").isNotNull(), "FAILED").otherwise("SENT")
     message = (
         F.when(waiting, F.format_string(K.REPORT_WAITING, F.col("report_date").cast("string"), "_actual", F.lit(expected)))
-        .when(F.col("error").isNotNull(), cut_error(F.col("error")))
+        .when(F.col("error").isNotNull(), F.col("error"))
         .otherwise(K.REPORT_SENT)
     )
     new_log = counted.select(

@@ -125,3 +125,17 @@ def test_recovery_and_first_metric(spark):
     assert set(got) == {"critical", "recovery"}
     assert (got["critical"].metric_name, got["critical"].metric_value, got["critical"].threshold_value) == ("avg_power_factor", 70.0, 90.0)
     assert got["recovery"].anomaly_type == "RECOVERY" and got["recovery"].window_end_time == datetime(2025, 5, 2, 0, 30)
+
+
+def test_repeated_results_leave_one_row_per_alert(spark):
+    from amperine.operators.alerts import apply_dispatch_results
+
+    queue = spark.createDataFrame(
+        [(i, "PENDING", None, 0, None) for i in (1, 2, 3)],
+        "alert_id long, notification_status string, notified_at timestamp_ntz, retry_count int, last_error_message string",
+    )
+    results = spark.createDataFrame([(1, "down"), (1, None), (2, "a"), (2, "b")], "alert_id long, error string")
+    got = apply_dispatch_results(queue, results, "2025-01-01 00:00:00").collect()
+    assert {(r.alert_id, r.notification_status, r.retry_count) for r in got} == {
+        (1, "SENT", 0), (2, "FAILED", 1), (3, "PENDING", 0)
+    } and len(got) == 3
