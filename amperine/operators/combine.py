@@ -39,6 +39,18 @@ def with_level_config(df: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
+def _usable_percentiles() -> Column:
+    usable = F.col("p1").isNotNull() & F.col("p99").isNotNull()
+    for name in ("p1", "p99"):
+        usable = usable & ~F.isnan(name) & (F.abs(F.col(name)) != F.lit(float("inf")))
+    return usable & (F.col("p99") > F.col("p1"))
+
+
+def lacks_percentiles(config: DataFrame) -> bool:
+    """Whether a level of the configuration (four rows) has no usable percentiles."""
+    return not config.filter(~F.coalesce(_usable_percentiles(), F.lit(False))).isEmpty()
+
+
 def scale_iforest(df: DataFrame, batch_fallback: bool = False) -> DataFrame:
     """`iforest_score` 0..100 from the decision value `iforest_score_raw`.
 
@@ -47,11 +59,7 @@ def scale_iforest(df: DataFrame, batch_fallback: bool = False) -> DataFrame:
     without it, or where those are equal, the score is a fixed line around 50.
     """
     abnormal = -F.col("iforest_score_raw")
-    usable = F.col("p1").isNotNull() & F.col("p99").isNotNull()
-    for name in ("p1", "p99"):
-        usable = usable & ~F.isnan(name) & (F.abs(F.col(name)) != F.lit(float("inf")))
-    usable = usable & (F.col("p99") > F.col("p1"))
-    score = F.when(usable, (abnormal - F.col("p1")) / (F.col("p99") - F.col("p1")) * 100)
+    score = F.when(_usable_percentiles(), (abnormal - F.col("p1")) / (F.col("p99") - F.col("p1")) * 100)
     if batch_fallback:
         known = F.when(~F.isnan("iforest_score_raw"), -F.col("iforest_score_raw"))
         spans = df.groupBy("aggregation_level").agg(F.min(known).alias("_lo"), F.max(known).alias("_hi"))

@@ -14,7 +14,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amperine.constants import LEVELS
@@ -63,17 +63,14 @@ def standardise(df: DataFrame, scaler: DataFrame, vector: str = "features") -> D
 
 
 def _pool(df: DataFrame, key: list[str], trees: int, psi: int, seed: int) -> DataFrame:
-    """A sample of about 2 and at most 3 * trees * psi rows per level, the same on every run.
+    """A sample of about 2 * trees * psi rows per level by a hash of the key.
 
-    The rank limit only bites when copies of one key fall into the sample together; Spark
-    applies it per task before the shuffle.
+    The same on every run, without ranking a level's rows anywhere.
     """
     counts = df.groupBy(LEVEL).agg(F.count(F.lit(1)).alias("_rows"))
     rows = level_join(df, counts)
     keep = F.least(F.lit(1.0), F.lit(2.0 * trees * psi) / F.col("_rows"))
-    drawn = rows.withColumn("_draw", _uniform(key, seed)).filter(F.col("_draw") < keep)
-    rank = F.row_number().over(Window.partitionBy(LEVEL).orderBy("_draw"))
-    return drawn.withColumn("_rank", rank).filter(F.col("_rank") <= 3 * trees * psi).drop("_rows", "_draw", "_rank")
+    return rows.filter(_uniform(key, seed) < keep).drop("_rows")
 
 
 def _uniform(key: list[Column | str], seed: int) -> Column:
@@ -191,17 +188,21 @@ def _mean_path(x: np.ndarray, model: tuple) -> np.ndarray:
 
 
 def _anomaly(df: DataFrame, forest: Forest) -> DataFrame:
-    """Add `_s`, the isolation score in (0, 1]; higher is more isolated."""
+    """Add `_s`, the isolation score in (0, 1]; higher is more isolated.
+
+    A row of a level without a fitted forest stops the job.
+    """
     shared, unit = forest.arrays(), float(average_path(forest.psi))
 
     @F.pandas_udf("double")
     def isolation(level: pd.Series, features: pd.Series) -> pd.Series:
         out = np.full(len(level), np.nan)
-        for name in level.dropna().unique():
-            if name in shared.value:
-                at = np.flatnonzero(level.to_numpy() == name)
-                x = np.stack(features.iloc[at].to_numpy()).astype(float)
-                out[at] = np.power(2.0, -_mean_path(x, shared.value[name]) / unit)
+        for name in level.unique():
+            if name not in shared.value:
+                raise ValueError(f"no forest was fitted for level {name}")
+            at = np.flatnonzero(level.to_numpy() == name)
+            x = np.stack(features.iloc[at].to_numpy()).astype(float)
+            out[at] = np.power(2.0, -_mean_path(x, shared.value[name]) / unit)
         return pd.Series(out)
 
     return df.withColumn("_s", isolation(F.col(LEVEL), F.col("features")))

@@ -17,12 +17,17 @@ def score(
     df: DataFrame, thresholds: DataFrame, config: DataFrame, forest: Forest | None = None,
     known: list[str] = K.KNOWN_EQUIPMENT, created_at: Column | None = None,
     on_error: str = "quarantine", present: str | None = None, keep: list[str] | None = None,
+    batch_fallback: bool | None = None,
 ) -> DataFrame:
     """Prediction rows (27 columns, then `keep`) for the valid rows of `df`.
 
     Levels may be mixed. Without a forest the rows must bring `iforest_score_raw`. Apart
-    from the small lookups the plan has no shuffle.
+    from the small lookups the plan has no shuffle. `batch_fallback` scales levels without
+    usable percentiles by the batch's extremes, which takes a second pass over the rows; by
+    default it is on if the configuration has such a level.
     """
+    if batch_fallback is None:
+        batch_fallback = combine.lacks_percentiles(config)
     valid = validate_rows(df, on_error).filter("is_valid").drop("is_valid", "error")
     rows = derive_features(valid, present)
     if forest is not None:
@@ -30,7 +35,7 @@ def score(
     elif "iforest_anomaly" not in rows.columns:
         rows = rows.withColumn("iforest_anomaly", F.when(F.col("iforest_score_raw") < 0, 1).otherwise(0))
     rows = combine.with_level_config(rule_score(with_thresholds(rows, thresholds)), config)
-    rows = combine.data_quality(combine.combine_scores(combine.scale_iforest(rows)))
+    rows = combine.data_quality(combine.combine_scores(combine.scale_iforest(rows, batch_fallback)))
     rows = rows.withColumns(
         {
             "final_reason": combine.final_reason(),

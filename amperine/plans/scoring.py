@@ -143,14 +143,18 @@ def payload_bodies(spark, sf_dir):
     fields = [F.col(c) if c != "window_end_time" else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
               for c in K.REQUIRED_SCORING_COLUMNS]
     item = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    form = F.col("event_count") % 6
+    form = F.col("event_count") % 10
     body = (
         F.when(form == 0, item)
         .when(form == 1, F.concat(F.lit("["), item, F.lit("]")))
         .when(form == 2, F.concat(F.lit('{"data":['), item, F.lit("]}")))
         .when(form == 3, F.concat(item, F.lit("\n"), item, F.lit("\n")))
         .when(form == 4, F.concat(F.lit("["), item, F.lit(", 7]")))
-        .otherwise(F.substring(item, 1, 40))
+        .when(form == 5, F.substring(item, 1, 40))
+        .when(form == 6, F.concat(item, item))
+        .when(form == 7, F.concat(item, F.lit(" x}")))
+        .when(form == 8, F.concat(F.lit("["), item, F.lit("] ["), item, F.lit("]")))
+        .otherwise(F.concat(item, F.lit("\n"), item, F.lit(" tail")))
     )
     return rows.select(F.concat_ws(" ", "equipment_id", F.col("window_end_time").cast("string")).alias("message"), body.alias("body"))
 
@@ -258,8 +262,8 @@ SQL = {
     "score_rows": S.with_(*S.scored_rows(RULE_K)) + _select(_FLAT, "predictions"),
     "decode_payloads": S.with_(
         *S.scoring_rows(["15m"]),
-        "copies AS (SELECT *, event_count % 6 AS form FROM scoring_rows)",
-        "placed AS (SELECT *, CASE WHEN form <> 5 THEN 0 END AS pos FROM copies UNION ALL SELECT *, 1 FROM copies WHERE form IN (3, 4))",
+        "copies AS (SELECT *, event_count % 10 AS form FROM scoring_rows)",
+        "placed AS (SELECT *, CASE WHEN form NOT BETWEEN 5 AND 8 THEN 0 END AS pos FROM copies UNION ALL SELECT *, 1 FROM copies WHERE form IN (3, 4, 9))",
     ) + f"SELECT concat(equipment_id, ' ', {_WHEN}) AS message, pos, CASE WHEN form < 4 THEN equipment_id END AS equipment_id, "
     f"CASE WHEN form < 4 THEN {_WHEN} END AS window_end_time, CASE WHEN form < 4 THEN CAST(event_count AS DOUBLE) END AS event_count, "
     + S.r6("avg_power_factor", "CASE WHEN form < 4 THEN avg_power_factor END") + ", "

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,18 +81,22 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table with one row per key, whatever the share of the hottest key.
 
+    Null keys match null keys.
+
     The table is settled and counted. Up to `max_rows` it is broadcast and `df` is not
     shuffled. Beyond that every table row is repeated once per salt, so the rows of one
     hot key spread over all salts.
     """
-    table = settle(table)
+    table = settle(table).withColumnsRenamed({name: f"_{name}_key" for name in on})
+    same = reduce(and_, [F.col(f"`{name}`").eqNullSafe(F.col(f"`_{name}_key`")) for name in on])
+    keys = [f"_{name}_key" for name in on]
     if table.limit(max_rows + 1).count() <= max_rows:
-        return df.join(F.broadcast(table), on, "left")
+        return df.join(F.broadcast(table), same, "left").drop(*keys)
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(df)), F.lit(SALTS)))
     copies = table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+        "_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     )
-    return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
+    return salted.join(copies, same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy", *keys)
 
 
 def level_join(df: DataFrame, table: DataFrame, level: str = "aggregation_level") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from amperine.functions.numeric import try_double
 from amperine.schemas import MEASURES, READING_EVENT
+from amperine.sources.payloads import one_value
 
 
 def sample_readings(df: DataFrame, limit: int = 10, tie_break: list[str] | None = None) -> DataFrame:
@@ -86,12 +87,15 @@ def event_schema() -> T.StructType:
 
 
 def decode_events(df: DataFrame, body: str = "value") -> DataFrame:
-    """JSON text to typed readings. Unreadable bodies keep their text in `_bad`."""
+    """JSON text to typed readings. Unreadable bodies keep their text in `_bad`.
+
+    A body with anything after its JSON value is unreadable too.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = F.from_json(F.col(body).cast("string"), event_schema(), options)
     rest = [c for c in df.columns if c != body]
     decoded = df.select(*rest, F.col(body).cast("string").alias("_body"), parsed.alias("e"))
-    unusable = F.col("e").isNull() | F.col("e._bad").isNotNull()
+    unusable = F.col("e").isNull() | F.col("e._bad").isNotNull() | F.expr(one_value("_body")).isNull()
     fields = [F.col(f"e.{f.name}").alias(f.name) for f in READING_EVENT.fields]
     return decoded.select(*rest, *fields, F.when(unusable, F.col("_body")).alias("_bad"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, time, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +13,7 @@ from amperine.functions.timestamps import report_date
 from amperine.operators import report as R
 from amperine.operators.merge import latest_by_key, not_sent
 from amperine.schemas import SEND_LOG
-from amperine.sources.readings import ready_dates
+from amperine.sources.readings import in_range, ready_dates
 from amperine.streaming.sinks import read_batches, start, write_batch
 
 
@@ -28,7 +30,16 @@ def report_batch(
     """
     due = not_sent(ready_dates(changes).distinct(), log)
     due = due.select(F.col("report_date").try_cast("date").alias("report_date")).dropna().distinct()
-    dated = daily.withColumn("report_date", report_date(F.col("window_end_time")))
+    # two dates, as literals that prune the scan of the daily table
+    first, last = due.agg(F.min("report_date"), F.max("report_date")).first()
+    if first is None:
+        near = daily.filter(F.lit(False))
+    else:
+        near = in_range(
+            daily, "window_end_time",
+            datetime.combine(first + timedelta(days=1), time.min), datetime.combine(last + timedelta(days=2), time.min),
+        )
+    dated = near.withColumn("report_date", report_date(F.col("window_end_time")))
     rows = dated.join(due, "report_date", "left_semi")
     summary = R.with_completeness(R.daily_summary(rows), equipment=expected)
     counts = summary.select("report_date", "equipment_count")
