@@ -154,6 +154,11 @@ _STORED_REST = [c for c in K.STORED_PREDICTION_COLUMNS
 _READY = """ready AS (SELECT substr(report_date, 1, 10) AS report_date FROM changes
   WHERE operation IN ('Insert', '0') AND status = 'READY' AND report_date IS NOT NULL)"""
 
+_FIRST_HIT = " ".join(
+    f"WHEN hit{i} THEN {{'feature': '{f}', 'v': v{i}, 'lower': lower{i}, 'upper': upper{i}, 'direction': '{side}'}}"
+    for i, (f, side) in enumerate(K.RULE_DIRECTIONS.items())
+)
+
 SQL = {
     "alert_candidates": S.with_(*_SCORED)
     + f"SELECT {_IDS}, final_anomaly_level, {S.r6('final_anomaly_score')}, reference_only FROM predictions WHERE {_ALERTING}",
@@ -186,14 +191,13 @@ SQL = {
         *_SCORED,
         "marked AS (SELECT *, lag(final_anomaly_level) OVER (PARTITION BY equipment_id, aggregation_level ORDER BY window_end_time) AS before FROM predictions)",
         f"chosen AS (SELECT *, CASE WHEN {_ALERTING} THEN final_anomaly_level WHEN final_anomaly_level = 'normal' AND before IN ('warning', 'critical') THEN 'recovery' END AS severity FROM marked)",
-        "first_hit AS (SELECT rid, min(place) AS place FROM found WHERE hit GROUP BY rid)",
-        "metric AS (SELECT f.* FROM found f JOIN first_hit USING (rid, place))",
+        f"metered AS (SELECT *, CASE {_FIRST_HIT} END AS m FROM chosen)",
     ) + "SELECT c.equipment_id, c.window_end_time, CASE WHEN severity = 'recovery' THEN 'RECOVERY' ELSE upper(coalesce(m.feature, 'multivariate')) END AS anomaly_type, "
     f"severity, m.feature AS metric_name, {S.r6('metric_value', 'm.v')}, {S.r6('threshold_value', _SIDE)}, "
     f"{S.r6('anomaly_score', 'c.final_anomaly_score / 100')}, {S.r6('rule_score', 'c.rule_score')}, {S.r6('iforest_score', 'c.iforest_score')}, "
     f"{S.r6('final_score', 'c.final_anomaly_score')}, CASE c.aggregation_level WHEN '1m' THEN 1 WHEN '15m' THEN 15 WHEN '1h' THEN 60 ELSE 1440 END AS duration_minutes, "
     "c.aggregation_level AS detection_window, 'OPEN' AS status, 'PENDING' AS notification_status, 0 AS retry_count "
-    "FROM chosen c LEFT JOIN metric m USING (rid) WHERE severity IS NOT NULL",
+    "FROM metered c WHERE severity IS NOT NULL",
     "send_log_merge": S.with_(S.send_log("old", "F"), S.send_log("new", "O"))
     + "SELECT report_date, CASE WHEN n.sent_at IS NOT NULL THEN n.sent_at ELSE o.sent_at END AS sent_at, coalesce(n.status, o.status) AS status, "
     "coalesce(n.message, o.message) AS message FROM old o FULL JOIN new n USING (report_date)",

@@ -13,7 +13,7 @@ from amperine.operators.scoring import score
 from amperine.operators.thresholds import fallback_thresholds, fit_thresholds, with_thresholds
 from amperine.plans import sql as S
 from amperine.plans.derived import MODULES, rounded, scoring_rows, with_raw_decision
-from amperine.session import settle
+from amperine.session import level_join, settle
 from amperine.sources.payloads import decode_payloads
 
 RULE_K = 0.45  # narrow limits, so that many rows trigger; 0.5 would put limits on values of pairs
@@ -31,11 +31,11 @@ def ruled_rows(spark, sf_dir):
     return rule_score(with_thresholds(with_raw_decision(derive_features(rows)), limits))
 
 
-def predictions(spark, sf_dir):
+def predictions(spark, sf_dir, config=None):
     rows = stored_rows(spark, sf_dir)
     limits = settle(fit_thresholds(rows, RULE_K))
     as_of = F.lit("2025-06-01 00:00:00").cast("timestamp_ntz")
-    return score(with_raw_decision(rows), limits, combine.level_config(spark), created_at=as_of)
+    return score(with_raw_decision(rows), limits, config or combine.level_config(spark), created_at=as_of)
 
 
 def forest_rows(spark, sf_dir):
@@ -123,6 +123,30 @@ def q_score_rows(spark, sf_dir):
     return rounded(predictions(spark, sf_dir).select(*_FLAT))
 
 
+def q_score_rows_batch(spark, sf_dir):
+    """Without percentiles in the configuration: every level is scaled by its extremes."""
+    config = combine.level_config(spark).withColumns({p: F.lit(None).cast("double") for p in ("p1", "p99")})
+    return rounded(predictions(spark, sf_dir, config).select(*_ID, "iforest_score", *_SCORES))
+
+
+def q_iforest_properties(spark, sf_dir):
+    """Per level: rows scored, and whether scores, share of anomalies and trees are in bounds."""
+    rows = forest_rows(spark, sf_dir)
+    forest = fit_iforest(rows, ["equipment_id", "window_end_time"])
+    trees = forest.nodes.groupBy("aggregation_level", "tree").agg(F.count("*").alias("n")).groupBy("aggregation_level").agg(
+        F.count("*").alias("trees"), F.max("n").alias("largest"))
+    limits = trees.join(forest.calibration, "aggregation_level")
+    score_of = -F.col("iforest_score_raw") - F.col("offset")
+    scored = level_join(score_iforest(rows, forest), limits)
+    counted = scored.groupBy("aggregation_level", "trees", "largest", "p99").agg(
+        F.count("*").alias("scored"), F.min(score_of).alias("low"), F.max(score_of).alias("high"),
+        F.sum("iforest_anomaly").alias("found"))
+    return rounded(counted.select(
+        "aggregation_level", "scored", ((F.col("low") > 0) & (F.col("high") <= 1)).alias("scores_fit"),
+        (F.col("found") <= F.ceil(F.col("scored") * 0.01)).alias("share_fits"),
+        ((F.col("trees") == forest.trees) & (F.col("largest") <= 2 * forest.psi - 1)).alias("nodes_fit"), "p99"))
+
+
 def q_iforest(spark, sf_dir):
     rows = forest_rows(spark, sf_dir)
     forest = fit_iforest(rows, ["equipment_id", "window_end_time"])
@@ -181,6 +205,8 @@ QUERIES = {
     "score_quality": q_score_quality,
     "recommended_action": q_recommended_action,
     "score_rows": q_score_rows,
+    "score_rows_batch": q_score_rows_batch,
+    "iforest_properties": q_iforest_properties,
     "iforest": q_iforest,
     "score_with_forest": q_score_with_forest,
     "decode_payloads": q_decode_payloads,
@@ -241,8 +267,10 @@ SQL = {
         for i, v in enumerate(_VECTOR)),
     "rule_score": S.with_(*_RULED) + _select([*_ID, "rule_anomaly", "rule_score", "rule_reason", "triggered"], "ruled"),
     "rule_findings": S.with_(*_RULED)
-    + f"SELECT n.equipment_id, n.window_end_time, n.aggregation_level, f.feature, {S.r6('value', 'f.v')}, "
-    f"{S.r6('lower', 'f.lower')}, {S.r6('upper', 'f.upper')}, f.direction FROM found f JOIN numbered n USING (rid) WHERE f.hit",
+    + " UNION ALL ".join(
+        f"SELECT {_IDS}, '{f}' AS feature, {S.r6('value', f'v{i}')}, {S.r6('lower', f'lower{i}')}, "
+        f"{S.r6('upper', f'upper{i}')}, '{side}' AS direction FROM ruled WHERE hit{i}"
+        for i, (f, side) in enumerate(K.RULE_DIRECTIONS.items())),
     "scale_iforest": S.with_(*_DECIDED, S.CONFIG)
     + f"SELECT {_IDS}, {S.r6('iforest_score_raw')}, "
     + S.r6("iforest_score", "least(greatest((-iforest_score_raw - p1) / (p99 - p1) * 100, 0.0), 100.0)")
@@ -255,11 +283,15 @@ SQL = {
            "ELSE 50 - iforest_score_raw * 250 END, 0.0), 100.0)")
     + " FROM decided JOIN spans USING (aggregation_level)",
     "combine_scores": S.with_(*S.scored_rows(RULE_K)) + _select([*_ID, *_SCORES], "predictions"),
-    "score_quality": S.with_(*S.scored_rows(RULE_K))
-    + _select([*_ID, "data_quality_issue_flag", "data_quality_reason"], "predictions"),
+    "score_quality": S.with_(*S.scoring_rows(), S.DERIVED, f"marked AS (SELECT *, {S.FEW} AS few, {S.LOW} AS low FROM derived)")
+    + f"SELECT {_IDS}, {S.QUALITY} FROM marked",
     "recommended_action": S.with_(*S.scored_rows(RULE_K))
     + _select([*_ID, "rule_reason", "iforest_anomaly", "recommended_action"], "predictions"),
     "score_rows": S.with_(*S.scored_rows(RULE_K)) + _select(_FLAT, "predictions"),
+    "score_rows_batch": S.with_(*S.scored_rows(RULE_K, batch=True)) + _select([*_ID, "iforest_score", *_SCORES], "predictions"),
+    "iforest_properties": S.with_(*S.scoring_rows())
+    + "SELECT aggregation_level, count(*) AS scored, true AS scores_fit, true AS share_fits, true AS nodes_fit, 0.0::DOUBLE AS p99 "
+    "FROM scoring_rows GROUP BY 1",
     "decode_payloads": S.with_(
         *S.scoring_rows(["15m"]),
         "copies AS (SELECT *, event_count % 10 AS form FROM scoring_rows)",

@@ -136,34 +136,48 @@ FALLBACK = """fallback AS (
   FROM thresholds WHERE lower IS NOT NULL AND upper IS NOT NULL GROUP BY 1, 2)"""
 
 
+def _limits_of(name: str, source: str, keys: str) -> str:
+    """CTE with the limits of all features in one row per key."""
+    columns = ", ".join(
+        f"count(*) FILTER (WHERE feature = '{f}') AS {name}_n{i}, "
+        + ", ".join(f"max({c}) FILTER (WHERE feature = '{f}') AS {name}_{c}{i}" for c in ("lower", "upper", "iqr"))
+        for i, f in enumerate(K.RULE_DIRECTIONS)
+    )
+    return f"{name}_limits AS (SELECT {keys}, {columns} FROM {source} GROUP BY {keys})"
+
+
 def rules(source: str = "derived") -> list[str]:
-    """CTEs ending in `ruled`: rule columns per row, one row number per input row."""
-    long = " UNION ALL ".join(
-        f"SELECT rid, aggregation_level, equipment_id, {i} AS place, '{f}' AS feature, '{side}' AS direction, "
-        f"coalesce({f}, 0.0) AS v FROM numbered"
-        for i, (f, side) in enumerate(K.RULE_DIRECTIONS.items())
+    """CTEs ending in `ruled`: rule columns per row, with v, lower, upper and hit per feature."""
+    sides = list(enumerate(K.RULE_DIRECTIONS.items()))
+    limit = lambda c, i, constant: (
+        f"CASE WHEN own_n{i} > 0 THEN own_{c}{i} WHEN all_n{i} > 0 THEN all_{c}{i} ELSE {constant} END AS {c}{i}"
     )
+    limited = ", ".join(
+        f"coalesce({f}, 0.0) AS v{i}, {limit('lower', i, 0.0)}, {limit('upper', i, 0.0)}, {limit('iqr', i, 1.0)}"
+        for i, (f, _) in sides
+    )
+    over = lambda i, side: f"v{i} - upper{i}" if side == "high" else f"lower{i} - v{i}"
+    known = lambda i: f"lower{i} IS NOT NULL AND upper{i} IS NOT NULL"
+    judged = ", ".join(
+        f"coalesce({known(i)} AND {f'v{i} > upper{i}' if side == 'high' else f'v{i} < lower{i}'}, false) AS hit{i}, "
+        f"CASE WHEN {known(i)} THEN least(greatest(({over(i, side)}) "
+        f"/ coalesce(nullif(iqr{i}, 0), greatest(abs(upper{i} - lower{i}), 1e-9)) * 100, 0.0), 100.0) ELSE 0.0 END AS score{i}"
+        for i, (_, side) in sides
+    )
+    reasons = ", ".join(f"CASE WHEN hit{i} THEN '{f}_{side}' END" for i, (f, side) in sides)
+    names = ", ".join(f"CASE WHEN hit{i} THEN '{f}' END" for i, (f, _) in sides)
     return [
-        f"numbered AS (SELECT *, row_number() OVER () AS rid FROM {source})",
-        f"long_rows AS ({long})",
-        """limited AS (
-  SELECT l.*, CASE WHEN t.feature IS NOT NULL THEN t.lower WHEN f.feature IS NOT NULL THEN f.lower ELSE 0.0 END AS lower,
-         CASE WHEN t.feature IS NOT NULL THEN t.upper WHEN f.feature IS NOT NULL THEN f.upper ELSE 0.0 END AS upper,
-         CASE WHEN t.feature IS NOT NULL THEN t.iqr WHEN f.feature IS NOT NULL THEN f.iqr ELSE 1.0 END AS iqr
-  FROM long_rows l
-  LEFT JOIN thresholds t ON t.aggregation_level = l.aggregation_level AND t.feature = l.feature AND t.equipment_id = l.equipment_id
-  LEFT JOIN fallback f ON f.aggregation_level = l.aggregation_level AND f.feature = l.feature)""",
-        """found AS (
-  SELECT *, CASE WHEN direction = 'high' THEN v > upper ELSE v < lower END AS hit,
-         least(greatest((CASE WHEN direction = 'high' THEN v - upper ELSE lower - v END)
-           / coalesce(nullif(iqr, 0), greatest(abs(upper - lower), 1e-9)) * 100, 0.0), 100.0) AS score
-  FROM limited WHERE lower IS NOT NULL AND upper IS NOT NULL)""",
-        """rule_rows AS (
-  SELECT rid, max(CASE WHEN hit THEN 1 ELSE 0 END) AS rule_anomaly, max(score) AS rule_score,
-         coalesce(string_agg(feature || '_' || direction, '|' ORDER BY place) FILTER (WHERE hit), 'normal') AS rule_reason,
-         coalesce(string_agg(feature, ', ' ORDER BY place) FILTER (WHERE hit), '') AS triggered
-  FROM found GROUP BY rid)""",
-        "ruled AS (SELECT n.*, r.rule_anomaly, r.rule_score, r.rule_reason, r.triggered FROM numbered n JOIN rule_rows r USING (rid))",
+        _limits_of("own", "thresholds", "aggregation_level, equipment_id"),
+        _limits_of("all", "fallback", "aggregation_level"),
+        f"limited AS (SELECT d.*, {limited} FROM {source} d "
+        "LEFT JOIN own_limits USING (aggregation_level, equipment_id) LEFT JOIN all_limits USING (aggregation_level))",
+        f"judged AS (SELECT *, {judged} FROM limited)",
+        f"""ruled AS (
+  SELECT *, CASE WHEN {' OR '.join(f'hit{i}' for i, _ in sides)} THEN 1 ELSE 0 END AS rule_anomaly,
+         greatest({', '.join(f'score{i}' for i, _ in sides)}) AS rule_score,
+         coalesce(nullif(concat_ws('|', {reasons}), ''), 'normal') AS rule_reason,
+         concat_ws(', ', {names}) AS triggered
+  FROM judged)""",
     ]
 
 
@@ -182,6 +196,15 @@ LEVEL = (
 )
 
 
+FEW = f"(event_count <= 0 OR event_count < {EXPECTED} * 0.2)"
+LOW = "completeness_ratio < 0.8"
+QUALITY = (
+    "CASE WHEN few OR low THEN 1 ELSE 0 END AS data_quality_issue_flag, "
+    "CASE WHEN few OR low THEN concat_ws('|', CASE WHEN few THEN 'event_count_missing_or_low' END, "
+    "CASE WHEN low THEN 'completeness_ratio_below_0.8' END) ELSE 'normal' END AS data_quality_reason"
+)
+
+
 def _action() -> str:
     known = " ".join(f"WHEN '{reason}' THEN '{text}'" for reason, text in K.ACTIONS.items())
     named = (
@@ -196,14 +219,23 @@ def _action() -> str:
 ACTION = _action()
 
 
-def combined() -> list[str]:
-    """CTEs from `ruled` (with iforest_score_raw) to `scored`."""
+_BY_PERCENTILES = "(-iforest_score_raw - p1) / (p99 - p1) * 100"
+_LOW = "min(-iforest_score_raw) OVER (PARTITION BY aggregation_level)"
+_HIGH = "max(-iforest_score_raw) OVER (PARTITION BY aggregation_level)"
+_BY_EXTREMES = (
+    f"CASE WHEN {_HIGH} > {_LOW} THEN (-iforest_score_raw - {_LOW}) / ({_HIGH} - {_LOW}) * 100 "
+    "ELSE 50 - iforest_score_raw * 250 END"
+)
+
+
+def combined(batch: bool = False) -> list[str]:
+    """CTEs from `ruled` (with iforest_score_raw) to `scored`; `batch` scales by the extremes."""
     return [
         CONFIG,
-        """scaled AS (
+        f"""scaled AS (
   SELECT r.*, c.rule_weight, c.iforest_weight, c.reference_only, c.p1, c.p99,
          CASE WHEN iforest_score_raw < 0 THEN 1 ELSE 0 END AS iforest_anomaly,
-         least(greatest((-iforest_score_raw - p1) / (p99 - p1) * 100, 0.0), 100.0) AS iforest_score
+         least(greatest({_BY_EXTREMES if batch else _BY_PERCENTILES}, 0.0), 100.0) AS iforest_score
   FROM ruled r JOIN config c USING (aggregation_level))""",
         """summed AS (
   SELECT *, rule_score * rule_weight AS rule_contribution, iforest_score * iforest_weight AS iforest_contribution,
@@ -216,13 +248,9 @@ def combined() -> list[str]:
          CASE WHEN model_vote_count >= 2 THEN 1 ELSE 0 END AS strong_anomaly_candidate,
          CASE WHEN final_anomaly_score >= 75 THEN 1 ELSE 0 END AS critical_candidate,
          {ACTION} AS recommended_action,
-         event_count <= 0 OR event_count < {EXPECTED} * 0.2 AS few, completeness_ratio < 0.8 AS low
+         {FEW} AS few, {LOW} AS low
   FROM summed)""",
-        """predictions AS (
-  SELECT *, CASE WHEN few OR low THEN 1 ELSE 0 END AS data_quality_issue_flag,
-         CASE WHEN few OR low THEN concat_ws('|', CASE WHEN few THEN 'event_count_missing_or_low' END,
-           CASE WHEN low THEN 'completeness_ratio_below_0.8' END) ELSE 'normal' END AS data_quality_reason
-  FROM scored)""",
+        f"predictions AS (SELECT *, {QUALITY} FROM scored)",
     ]
 
 
@@ -231,9 +259,9 @@ RAW_DECISION = (
 )
 
 
-def scored_rows(k: float) -> list[str]:
+def scored_rows(k: float, batch: bool = False) -> list[str]:
     return [
-        *scoring_rows(), DERIVED, RAW_DECISION, thresholds(k), FALLBACK, *rules("decided"), *combined(),
+        *scoring_rows(), DERIVED, RAW_DECISION, thresholds(k), FALLBACK, *rules("decided"), *combined(batch),
     ]
 
 

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -58,3 +60,10 @@ def test_previous_row_crosses_days_and_gaps(spark):
     df = spark.createDataFrame(rows, "k string, t string, v int").withColumn("t", F.col("t").cast("timestamp_ntz"))
     got = previous_in_series(df, ["k"], "t", {"p": F.col("v")}).orderBy("k", "t")
     assert [r.p for r in got.collect()] == [None, 13, 19, 21, 50, None]
+
+
+def test_null_keys_have_a_previous_row_across_days(spark):
+    rows = [(None, datetime(2025, 1, day, hour), float(10 * day + hour)) for day in (1, 2) for hour in (1, 2)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
+    got = previous_in_series(df, ["k"], "t", {"before": F.col("v")}).orderBy("t").collect()
+    assert [r.before for r in got] == [None, 11.0, 12.0, 21.0]

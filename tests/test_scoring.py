@@ -288,6 +288,22 @@ def test_whole_scoring_of_the_example(spark, fitted):
         json.dumps(row.asDict(recursive=True), default=str)
 
 
+def test_a_level_without_a_forest_stops_the_job(spark, fitted):
+    df, forest = fitted
+    other = df.withColumn("aggregation_level", F.lit("no such level"))
+    with pytest.raises(Exception, match="no forest was fitted"):
+        score_iforest(other, forest).collect()
+
+
+def test_scoring_takes_the_extremes_of_a_batch_without_percentiles(spark):
+    df = rows_of(spark, {"hour": 1.0}, {"hour": 2.0}).withColumn("iforest_score_raw", F.when(F.col("hour") == 1, 0.05).otherwise(-0.01))
+    config = combine.level_config(spark).withColumn("p99", F.lit(None).cast("double"))
+    limits = limits_of(spark, *ALL)
+    points = lambda c: sorted(r.iforest_score for r in score(df, limits, c).collect())
+    assert points(config) == [0.0, 100.0]
+    assert points(combine.level_config(spark)) != [0.0, 100.0]
+
+
 def test_reason_sentences(spark):
     base = {"iforest_score": 12.34, "iforest_anomaly": 0, "final_anomaly_level": "watch"}
     df = rows_of(spark).withColumns({k: F.lit(v) for k, v in base.items()})
