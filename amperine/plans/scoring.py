@@ -103,6 +103,9 @@ _SCORES = ["final_anomaly_score", "final_anomaly_level", "primary_anomaly_model"
            "strong_anomaly_candidate", "critical_candidate", "rule_contribution", "iforest_contribution", "reference_only"]
 
 
+_BATCH_SCORES = ["iforest_score", "iforest_contribution", "final_anomaly_level", "primary_anomaly_model", "model_vote_count"]
+
+
 def q_combine_scores(spark, sf_dir):
     return rounded(predictions(spark, sf_dir).select(*_ID, *_SCORES))
 
@@ -124,9 +127,13 @@ def q_score_rows(spark, sf_dir):
 
 
 def q_score_rows_batch(spark, sf_dir):
-    """Without percentiles in the configuration: every level is scaled by its extremes."""
+    """Without percentiles in the configuration: every level is scaled by its extremes.
+
+    The sum of both contributions is left to `score_rows`: with shares of the extremes it
+    often is an exact tie of rounding, at six digits and at nine.
+    """
     config = combine.level_config(spark).withColumns({p: F.lit(None).cast("double") for p in ("p1", "p99")})
-    return rounded(predictions(spark, sf_dir, config).select(*_ID, "iforest_score", *_SCORES))
+    return rounded(predictions(spark, sf_dir, config).select(*_ID, *_BATCH_SCORES))
 
 
 def q_iforest_properties(spark, sf_dir):
@@ -288,7 +295,7 @@ SQL = {
     "recommended_action": S.with_(*S.scored_rows(RULE_K))
     + _select([*_ID, "rule_reason", "iforest_anomaly", "recommended_action"], "predictions"),
     "score_rows": S.with_(*S.scored_rows(RULE_K)) + _select(_FLAT, "predictions"),
-    "score_rows_batch": S.with_(*S.scored_rows(RULE_K, batch=True)) + _select([*_ID, "iforest_score", *_SCORES], "predictions"),
+    "score_rows_batch": S.with_(*S.scored_rows(RULE_K, batch=True)) + _select([*_ID, *_BATCH_SCORES], "predictions"),
     "iforest_properties": S.with_(*S.scoring_rows())
     + "SELECT aggregation_level, count(*) AS scored, true AS scores_fit, true AS share_fits, true AS nodes_fit, 0.0::DOUBLE AS p99 "
     "FROM scoring_rows GROUP BY 1",
