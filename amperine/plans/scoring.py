@@ -103,7 +103,7 @@ _SCORES = ["final_anomaly_score", "final_anomaly_level", "primary_anomaly_model"
            "strong_anomaly_candidate", "critical_candidate", "rule_contribution", "iforest_contribution", "reference_only"]
 
 
-_BATCH_SCORES = ["iforest_score", "iforest_contribution", "final_anomaly_level", "primary_anomaly_model", "model_vote_count"]
+_BATCH_SCORES = ["iforest_score", "final_anomaly_level", "primary_anomaly_model", "model_vote_count"]
 
 
 def q_combine_scores(spark, sf_dir):
@@ -129,8 +129,8 @@ def q_score_rows(spark, sf_dir):
 def q_score_rows_batch(spark, sf_dir):
     """Without percentiles in the configuration: every level is scaled by its extremes.
 
-    The sum of both contributions is left to `score_rows`: with shares of the extremes it
-    often is an exact tie of rounding, at six digits and at nine.
+    Contributions and their sum are left to `score_rows`: with shares of the extremes they
+    often are exact ties of rounding.
     """
     config = combine.level_config(spark).withColumns({p: F.lit(None).cast("double") for p in ("p1", "p99")})
     return rounded(predictions(spark, sf_dir, config).select(*_ID, *_BATCH_SCORES))
