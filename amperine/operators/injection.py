@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from amperine import constants as K
 from amperine.operators.quantiles import exact_quantiles
+from amperine.session import settle
 
 
 def inject_anomaly(df: DataFrame) -> DataFrame:
     """Disturb the rows of the middle distinct timestamp (rank n // 2) and label all rows."""
-    stamps = df.select("timestamp").distinct()
+    stamps = settle(df.select("timestamp").distinct())
     middle = exact_quantiles(stamps, [], ["timestamp"], [0.5], pick="higher")
     # one row; the rank n // 2 is the upper median
     middle = middle.select(
-        F.element_at("quantiles", 1).cast("bigint").alias("timestamp"), F.lit(True).alias("_hit")
+        F.element_at("quantiles", 1).alias("timestamp"), F.lit(True).alias("_hit")
     )
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     scaled = {"activePower": K.INJECT_POWER}

@@ -2,7 +2,10 @@
 
 The built-in exact percentile keeps every distinct value of a group in one task. Here a
 first pass brackets each quantile with a bounded sketch, and a second pass counts what
-lies below the bracket and ranks only the values inside it. Both passes combine partially
+lies below the bracket and keeps only the values inside it. While a group still has more
+than RANKED distinct values, they are split into POINTS buckets or more, counted per bucket, and the
+buckets that hold none of the wanted ranks collapse to one entry each. What is ranked in one
+task is therefore bounded, whatever the size of the group; all passes combine partially
 before their shuffle, so one group may hold most of the rows.
 """
 
@@ -11,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperine.session import level_join, lookup_join
+from amperine.session import level_join, lookup_join, settle
 
 ACCURACY = 10_000
+RANKED = 100_000  # entries of one group that are put in order in one task
+POINTS = 256
 _SLACK = 4  # bracket half-width in units of the sketch error
 
 
@@ -28,14 +33,15 @@ def _brackets(df: DataFrame, by: list[str], values: list[str], probs: list[float
     return df.groupBy(*by).agg(*aggs)
 
 
-def _entry(i: int, name: str, probs: list[float], accuracy: int) -> Column:
+def _entry(i: int, name: str, probs: list[float], accuracy: int, kind: str) -> Column:
     """What a row adds for one value column, or null where the value is null.
 
     Inside a bracket the value itself; outside, the upper end of the next lower bracket
     (null below all of them) marked as not exact, so that such rows collapse before the
-    shuffle. Groups small enough to rank whole keep every value.
+    shuffle. In groups of up to ten times `accuracy` rows a bracket could be narrower than
+    the distance of two ranks; they keep every value.
     """
-    value, n, points = F.col(f"`{name}`").cast("double"), F.col(f"_n{i}"), F.col(f"_p{i}")
+    value, n, points = F.col(f"`{name}`").cast(kind), F.col(f"_n{i}"), F.col(f"_p{i}")
     lows = [points[2 * j] for j in range(len(probs))]
     highs = [points[2 * j + 1] for j in range(len(probs))]
     exact = n <= 10 * accuracy
@@ -43,7 +49,7 @@ def _entry(i: int, name: str, probs: list[float], accuracy: int) -> Column:
         over = F.lit(True) if q <= 0.0 else value >= low
         under = F.lit(True) if q >= 1.0 else value <= high
         exact = exact | (over & under)
-    below = [F.when(high.cast("double") < value, high.cast("double")) for high in highs]
+    below = [F.when(high.cast(kind) < value, high.cast(kind)) for high in highs]
     snapped = F.greatest(*below) if len(below) > 1 else below[0]
     entry = F.struct(
         F.lit(i).alias("column"),
@@ -54,13 +60,57 @@ def _entry(i: int, name: str, probs: list[float], accuracy: int) -> Column:
     return F.when(value.isNotNull(), entry)
 
 
+def _wanted(probs: list[float], n: Column) -> list[tuple[Column, Column]]:
+    """The two ranks, from 0, on either side of every quantile's position."""
+    positions = [F.lit(float(q)) * (n - 1) for q in probs]
+    return [(F.floor(p), F.ceil(p)) for p in positions]
+
+
+def _running(group: list[str], *order: Column) -> Column:
+    """Rows up to and with the current entry of a group."""
+    window = Window.partitionBy(*group).orderBy(*order)
+    return F.sum("rows").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def _collapse(cells: DataFrame, group: list[str], probs: list[float]) -> DataFrame:
+    """Fewer entries with the same values at the wanted ranks: at most about a quarter.
+
+    A bucket holds the entries up to a point of the sketch, so its count is exact however
+    good the sketch is. A bucket without a wanted rank becomes one entry at its upper end.
+    """
+    split = max(POINTS, 8 * len(probs))
+    points = cells.groupBy(*group).agg(F.percentile_approx(
+        F.when(F.col("exact"), F.col("value")), [i / split for i in range(1, split)], ACCURACY
+    ).alias("points"))
+    # 2 kB a row, so at most 4 MB are broadcast
+    placed = lookup_join(cells, points, group, max_rows=2000).withColumn("bucket", F.coalesce(
+        F.size(F.filter("points", lambda p: p < F.col("value"))), F.lit(0)
+    )).drop("points")
+    place = [*group, "bucket"]
+    buckets = placed.groupBy(*place, "n").agg(F.sum("rows").alias("rows"), F.max("value").alias("top"))
+    buckets = buckets.withColumn("through", _running(group, F.col("bucket").asc()))
+    start = F.col("through") - F.col("rows")
+    held = F.lit(False)
+    for low, high in _wanted(probs, F.col("n")):
+        for rank in (low, high):
+            held = held | ((rank >= start) & (rank < F.col("through")))
+    marked = settle(buckets.withColumn("held", held).drop("through"))
+    full = marked.filter("held").select(*place)
+    rest = marked.filter("not held").select(
+        *group, "n", F.col("top").alias("value"), F.lit(False).alias("exact"), "rows"
+    )
+    kept = lookup_join(placed, full.withColumn("held", F.lit(True)), place).filter("held")
+    return settle(kept.select(*rest.columns).unionByName(rest))
+
+
 def exact_quantiles(
     df: DataFrame, by: list[str], values: list[str], probs: list[float],
-    accuracy: int = ACCURACY, pick: str = "linear",
+    accuracy: int = ACCURACY, pick: str = "linear", ranked: int = RANKED,
 ) -> DataFrame:
     """Quantiles as columns `by`, feature, n, and quantiles (array in order of `probs`).
 
-    `pick` is 'linear' (interpolate between the neighbours) or 'higher' (take the upper).
+    `pick` is 'linear' (interpolate between the neighbours) or 'higher' (take the upper, in
+    the type of the first value column).
     Nulls are ignored; a column without values in a group gives no row. `df` is read
     twice, so it should be a table or settled. If the sketch ever failed to bracket a
     rank the job stops instead of returning a wrong value.
@@ -68,7 +118,7 @@ def exact_quantiles(
     columns = [f"`{v}`" for v in values]
     if not by:
         one = df.select(*columns, F.lit(1).alias("_all"))
-        return exact_quantiles(one, ["_all"], values, probs, accuracy, pick).drop("_all")
+        return exact_quantiles(one, ["_all"], values, probs, accuracy, pick, ranked).drop("_all")
     brackets = _brackets(df, by, values, probs, accuracy)
     rows = df.select(*by, *columns)
     if by == ["_all"]:
@@ -78,33 +128,38 @@ def exact_quantiles(
     else:
         keyed = lookup_join(rows, brackets, by)
 
-    entries = F.array(*[_entry(i, name, probs, accuracy) for i, name in enumerate(values)])
+    kind = dict(df.dtypes)[values[0]] if pick == "higher" else "double"
+    entries = F.array(*[_entry(i, name, probs, accuracy, kind) for i, name in enumerate(values)])
     group = [*by, "column"]
-    counted = (
+    cells = settle(
         keyed.select(*by, F.explode(entries).alias("m"))
         .filter(F.col("m").isNotNull())
         .select(*by, "m.*")
         .groupBy(*group, "n", "value", "exact")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    ordered = Window.partitionBy(*group).orderBy(F.col("value").asc_nulls_first(), F.col("exact").desc())
-    through = F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("through", through).withColumn("found", F.struct("value", "exact"))
+    least = 2 * max(POINTS, 8 * len(probs))  # fewer entries need not become fewer still
+    while True:
+        most = cells.groupBy(*group).agg(F.count("*").alias("c")).agg(F.max("c")).first()[0] or 0
+        if most <= max(ranked, least):
+            break
+        cells = _collapse(cells, group, probs)
+    through = _running(group, F.col("value").asc_nulls_first(), F.col("exact").desc())
+    in_order = cells.withColumn("through", through).withColumn("found", F.struct("value", "exact"))
     picks = []
-    for j, prob in enumerate(probs):
-        position = F.lit(float(prob)) * (F.col("n") - 1)
-        for end, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+    for j, ranks in enumerate(_wanted(probs, F.col("n"))):
+        for end, rank in zip(("lo", "hi"), ranks):
             reached = F.when(F.col("through") > rank, F.col("through"))
             picks.append(F.min_by("found", reached).alias(f"{end}{j}"))
-    picked = ranked.groupBy(*group, "n").agg(*picks)
+    picked = in_order.groupBy(*group, "n").agg(*picks)
 
     def quantile(j: int, prob: float) -> Column:
         lo, hi = F.col(f"lo{j}"), F.col(f"hi{j}")
         position = F.lit(float(prob)) * (F.col("n") - 1)
-        share = position - F.floor(position) if pick == "linear" else F.lit(1.0)
+        between = lo["value"] + (hi["value"] - lo["value"]) * (position - F.floor(position))
         sure = F.coalesce(lo["exact"] & hi["exact"], F.lit(False))
-        stop = F.raise_error(F.lit("a quantile was not bracketed")).cast("double")
-        return F.when(sure, lo["value"] + (hi["value"] - lo["value"]) * share).otherwise(stop)
+        stop = F.raise_error(F.lit("a quantile was not bracketed")).cast(kind)
+        return F.when(sure, between if pick == "linear" else hi["value"]).otherwise(stop)
 
     names = F.element_at(F.array(*[F.lit(v) for v in values]), F.col("column") + 1)
     quantiles = F.array(*[quantile(j, p) for j, p in enumerate(probs)])

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from amperine.operators import quantiles
 from amperine.operators.quantiles import exact_quantiles
 from amperine.operators.series import previous_in_series
 from amperine.session import lookup_join
@@ -32,6 +33,37 @@ def test_equals_numpy(spark, accuracy, shape):
         assert np.allclose(got[name].quantiles, want[name], atol=1e-12), name
 
 
+@pytest.mark.parametrize("probs", [PROBS, [0.25, 0.75]])
+def test_large_groups_are_narrowed_before_they_are_ranked(spark, probs, monkeypatch):
+    rounds, collapse = [], quantiles._collapse
+
+    def counted(cells, group, probs):
+        out = collapse(cells, group, probs)
+        sizes = [frame.groupBy(*group).count().agg(F.max("count")).first()[0] for frame in (cells, out)]
+        rounds.append(sizes)
+        return out
+
+    monkeypatch.setattr(quantiles, "_collapse", counted)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=29_000), np.full(9_000, 0.125)])
+    rng.shuffle(x)
+    groups = ["hot" if i % 40 else None for i in range(len(x))]
+    df = spark.createDataFrame(list(zip(groups, map(float, x))), "g string, v double").repartition(6)
+    got = {r.g: r.quantiles for r in exact_quantiles(df, ["g"], ["v"], probs, ranked=1).collect()}
+    for name in ("hot", None):
+        own = np.array([v for g, v in zip(groups, x) if g == name])
+        assert np.allclose(got[name], np.quantile(own, probs), atol=1e-12)
+    assert rounds and all(2 * after < before for before, after in rounds)
+    assert rounds[-1][1] <= 2 * quantiles.POINTS
+
+
+def test_integers_beyond_doubles_keep_their_digits(spark):
+    base = 2**60
+    df = spark.range(3001).select((F.col("id") + base).alias("t"))
+    got = exact_quantiles(df, [], ["t"], [0.5], accuracy=20, pick="higher", ranked=1).first().quantiles
+    assert got == [base + 1500]
+
+
 def test_several_columns_and_no_group(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("a"), (-F.col("id")).cast("double").alias("b"),
                                   F.lit(None).cast("double").alias("c"))
