@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import functions as F
 
 from amperine import constants as K
@@ -14,8 +16,9 @@ from amperine.operators.windows import MEANS, aggregate_readings, avg_current, b
 from amperine.plans import sql as S
 from amperine.plans.derived import aggregate, events, readings, rounded
 from amperine.schemas import MEASURES
-from amperine.session import settle
+from amperine.session import scratch_path, settle
 from amperine.sources.readings import decode_events, next_chunk, sample_readings, to_event_json
+from amperine.sources.writers import DAY, replace_days, store_days
 
 CHUNK = dict(last_timestamp=10_000, chunk_timestamps=20, end_timestamp=250_000,
              modules=["module_01", "module_02", "module_05"])
@@ -82,6 +85,18 @@ def q_rollup_power_1h(spark, sf_dir):
     return rounded(rollup(aggregate(spark, sf_dir, "15m", energy=True), "1 hour", energy=True))
 
 
+def q_rollup_rerun(spark, sf_dir):
+    """Hours of every second machine, then the first day run again, twice, with all machines."""
+    agg = settle(aggregate(spark, sf_dir, "15m"))
+    path = scratch_path(spark, "hours")
+    even = F.substring("equipment_id", 8, 2).cast("int") % 2 == 0
+    store_days(rollup(agg.filter(even), "1 hour"), path)
+    day, after = date(2025, 4, 1), date(2025, 4, 2)
+    for _ in range(2):
+        replace_days(rollup(agg, "1 hour", datetime(2025, 4, 1), datetime(2025, 4, 2)), path, day, after)
+    return rounded(spark.read.parquet(path).drop(DAY))
+
+
 def q_model_input(spark, sf_dir):
     return rounded(model_input(aggregate(spark, sf_dir, "15m", energy=True)))
 
@@ -117,6 +132,7 @@ QUERIES = {
     "rollup_1h": _rollup("1h"),
     "rollup_1d": _rollup("1d"),
     "rollup_power_1h": q_rollup_power_1h,
+    "rollup_rerun": q_rollup_rerun,
     "model_input": q_model_input,
     "inject_anomaly": q_inject_anomaly,
     "base_time": q_base_time,
@@ -175,6 +191,8 @@ SQL = {
     + S.r6("avg_current", "(avg_current_r + avg_current_s + avg_current_t) / 3.0") + " FROM a",
     "rollup_1h": _agg_sql("1h"),
     "rollup_1d": _agg_sql("1d"),
+    "rollup_rerun": _agg_sql("1h")
+    + " WHERE window_end_time > timestamp '2025-04-01 00:00:00' AND window_end_time <= timestamp '2025-04-02 00:00:00' OR CAST(substr(equipment_id, 8, 2) AS INTEGER) % 2 = 0",
     "rollup_power_1h": S.with_(S.READINGS, S.aggregate("a", "1 hour"))
     + f"SELECT equipment_id, window_end_time, {', '.join(S.r6(c) for c in [*S.MEANS, *S.POWER[:2]])}, event_count FROM a",
     "model_input": S.with_(*S.scoring_rows(["15m"]))

@@ -14,8 +14,9 @@ from amperine.plans.derived import (
     aggregate, alert_queue, dispatch_results, rounded, send_attempts, status_changes,
 )
 from amperine.plans.scoring import RULE_K, predictions
-from amperine.session import settle
-from amperine.sources.readings import ready_dates
+from amperine.session import scratch_path, settle
+from amperine.sources.readings import decode_changes, ready_dates
+from amperine.sources.writers import read_queue, write_dispatch
 
 AS_OF = datetime(2025, 6, 1)
 _ID = ["equipment_id", "window_end_time", "aggregation_level"]
@@ -102,6 +103,27 @@ def q_ready_dates(spark, sf_dir):
     return ready_dates(status_changes(spark, sf_dir))
 
 
+def q_change_feed(spark, sf_dir):
+    """Status changes as texts of up to 32, some followed by more text, read again."""
+    item = F.struct("report_date", "status")
+    changes = status_changes(spark, sf_dir, "floor(o_orderkey / 32) AS message").select(
+        "message", F.struct(F.col("operation").alias("Operation"), item.alias("Item")).alias("change"))
+    texts = changes.groupBy("message").agg(F.to_json(F.collect_list("change")).alias("value"))
+    broken = F.col("message") % 11 == 3
+    texts = texts.withColumn("value", F.when(broken, F.concat("value", F.lit(" []"))).otherwise(F.col("value")))
+    return decode_changes(texts).withColumn("unreadable", F.col("_bad").isNotNull()).drop("_bad")
+
+
+def q_dispatch_written(spark, sf_dir):
+    """A dispatch pass that is written twice with one version number, and its stored queue."""
+    root = scratch_path(spark, "dispatch")
+    for _ in range(2):
+        done = A.dispatch_pass(alert_queue(spark, sf_dir), dispatch_results(spark, sf_dir), AS_OF)
+        write_dispatch(done, root, 1)
+    return read_queue(spark, root).select(
+        "alert_id", "notification_status", "retry_count", "last_error_message", "notified_at")
+
+
 def q_not_sent(spark, sf_dir):
     return not_sent(ready_dates(status_changes(spark, sf_dir)).distinct(), send_log(spark, sf_dir))
 
@@ -129,6 +151,8 @@ QUERIES = {
     "anomaly_events": q_anomaly_events,
     "send_log_merge": q_send_log_merge,
     "ready_dates": q_ready_dates,
+    "change_feed": q_change_feed,
+    "dispatch_written": q_dispatch_written,
     "not_sent": q_not_sent,
     "ready_status_rows": q_ready_status_rows,
 }
@@ -159,6 +183,11 @@ _FIRST_HIT = " ".join(
     for i, (f, side) in enumerate(K.RULE_DIRECTIONS.items())
 )
 
+_DISPATCHED = (
+    S.with_(S.QUEUE, S.RESULTS, _PENDING, _DUE_RESULTS)
+    + f"SELECT q.alert_id, {_MARK} FROM queue q LEFT JOIN tried r USING (alert_id)"
+)
+
 SQL = {
     "alert_candidates": S.with_(*_SCORED)
     + f"SELECT {_IDS}, final_anomaly_level, {S.r6('final_anomaly_score')}, reference_only FROM predictions WHERE {_ALERTING}",
@@ -181,8 +210,8 @@ SQL = {
     + "SELECT count(*) FILTER (WHERE due AND error IS NULL) AS sent_count, count(*) FILTER (WHERE NOT due) AS skipped_count, "
     "count(*) FILTER (WHERE due AND error IS NOT NULL) AS failed_count FROM (SELECT severity IN ('critical', 'warning', 'recovery') AS due, error "
     "FROM queue LEFT JOIN results USING (alert_id))",
-    "dispatch_pass": S.with_(S.QUEUE, S.RESULTS, _PENDING, _DUE_RESULTS)
-    + f"SELECT q.alert_id, {_MARK} FROM queue q LEFT JOIN tried r USING (alert_id)",
+    "dispatch_pass": _DISPATCHED,
+    "dispatch_written": _DISPATCHED,
     "dispatch_outbox": S.with_(S.QUEUE, _PENDING) + _QUEUE_PAYLOAD + "pending",
     "dispatch_counts": S.with_(S.QUEUE, S.RESULTS, _PENDING, _DUE_RESULTS)
     + "SELECT count(*) FILTER (WHERE error IS NULL) AS sent_count, CAST(0 AS BIGINT) AS skipped_count, "
@@ -202,6 +231,12 @@ SQL = {
     + "SELECT report_date, CASE WHEN n.sent_at IS NOT NULL THEN n.sent_at ELSE o.sent_at END AS sent_at, coalesce(n.status, o.status) AS status, "
     "coalesce(n.message, o.message) AS message FROM old o FULL JOIN new n USING (report_date)",
     "ready_dates": S.with_(S.CHANGES, _READY) + "SELECT report_date FROM ready",
+    "change_feed": """WITH told AS (SELECT CAST(floor(o_orderkey / 32) AS BIGINT) AS message,
+    CASE o_orderstatus WHEN 'F' THEN 'Insert' WHEN 'O' THEN '0' ELSE 'Update' END AS operation,
+    CASE WHEN o_custkey % 7 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS report_date,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'DONE' ELSE 'READY' END AS status FROM orders)
+  SELECT message, operation, report_date, status, false AS unreadable FROM told WHERE message % 11 <> 3
+  UNION ALL SELECT DISTINCT message, NULL, NULL, NULL, true FROM told WHERE message % 11 = 3""",
     "not_sent": S.with_(S.CHANGES, _READY, S.send_log("log", "F"))
     + "SELECT DISTINCT report_date FROM ready WHERE CAST(report_date AS DATE) NOT IN (SELECT report_date FROM log WHERE status = 'SENT')",
     "ready_status_rows": S.with_(

@@ -143,11 +143,12 @@ def dispatch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def status_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def status_changes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.expr("CASE o_orderstatus WHEN 'F' THEN 'Insert' WHEN 'O' THEN '0' ELSE 'Update' END").alias("operation"),
         F.expr("if(o_custkey % 7 = 0, cast(null as string), date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss'))").alias("report_date"),
         F.expr("if(o_orderpriority = '1-URGENT', 'DONE', 'READY')").alias("status"),
+        *map(F.expr, more),
     )
 
 

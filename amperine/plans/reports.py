@@ -13,7 +13,7 @@ from amperine.operators import report as R
 from amperine.operators.windows import base_time
 from amperine.plans import sql as S
 from amperine.plans.derived import aggregate, alert_events, events, one_minute_power, rounded
-from amperine.session import settle
+from amperine.session import scratch_path, settle
 from amperine.sources.readings import daily_rows, forecast_panel, in_range
 
 
@@ -110,6 +110,15 @@ def q_forecast_output(spark, sf_dir):
     return rounded(P.run_forecast(panel, base, seasons=SEASONS).drop("created_at"))
 
 
+def q_forecast_append(spark, sf_dir):
+    """Two models, each appended to the stored table, read from there."""
+    panel, base = _forecast_input(spark, sf_dir)
+    path = scratch_path(spark, "forecasts")
+    for name, season in SEASONS.items():
+        P.append_forecast(P.run_forecast(panel, base, seasons={name: season}), path)
+    return rounded(spark.read.parquet(path).drop("created_at", "base_date"))
+
+
 def q_custom_forecast(spark, sf_dir):
     def last_hour_mean(history, targets):
         import pandas as pd
@@ -137,6 +146,7 @@ QUERIES = {
     "forecast_panel": q_forecast_panel,
     "seasonal_naive": q_seasonal_naive,
     "forecast_output": q_forecast_output,
+    "forecast_append": q_forecast_append,
     "custom_forecast": q_custom_forecast,
 }
 
@@ -179,6 +189,15 @@ _REPLACE = lambda text, *args: "concat(" + ", ".join(
                       [*args, None]) for x in pair if x is not None).replace("§", "%") + ")"
 _RATE = "format('{:.2f}', completeness_rate)"
 
+_OUTPUT = (
+    S.with_(
+        *_AGG15, f"one AS ({_naive(1, 96)})", f"two AS ({_naive(2, 96)})",
+        "made AS (SELECT 'naive_1d' AS model_name, * FROM one UNION ALL SELECT 'naive_2d', * FROM two)",
+    )
+    + f"SELECT b AS base_time, ds AS target_time, unique_id AS equipment_id, model_name, {S.r6('yhat')} FROM made, base "
+    "WHERE ds <= date_trunc('day', b) + INTERVAL 1 DAY"
+)
+
 SQL = {
     "daily_rows": S.with_(*_DAILY)
     + f"SELECT equipment_id, window_end_time, {', '.join(S.r6(c) for c in S.MEANS)}, event_count FROM daily "
@@ -242,11 +261,8 @@ SQL = {
     "forecast_panel": S.with_(*_AGG15)
     + "SELECT unique_id, ds, " + ", ".join(S.r6(c) for c in ["y", "currentR", "currentS", "currentT"]) + " FROM panel",
     "seasonal_naive": S.with_(*_AGG15, f"made AS ({_naive(1, 192)})") + f"SELECT unique_id, ds, {S.r6('yhat')} FROM made",
-    "forecast_output": S.with_(
-        *_AGG15, f"one AS ({_naive(1, 96)})", f"two AS ({_naive(2, 96)})",
-        "made AS (SELECT 'naive_1d' AS model_name, * FROM one UNION ALL SELECT 'naive_2d', * FROM two)",
-    ) + f"SELECT b AS base_time, ds AS target_time, unique_id AS equipment_id, model_name, {S.r6('yhat')} FROM made, base "
-    "WHERE ds <= date_trunc('day', b) + INTERVAL 1 DAY",
+    "forecast_output": _OUTPUT,
+    "forecast_append": _OUTPUT,
     "custom_forecast": S.with_(
         *_AGG15,
         "ranked AS (SELECT *, row_number() OVER (PARTITION BY unique_id ORDER BY ds DESC) AS back FROM panel)",

@@ -82,6 +82,29 @@ def ready_dates(changes: DataFrame) -> DataFrame:
     ).select(day.alias("report_date"))
 
 
+def decode_changes(df: DataFrame, body: str = "value") -> DataFrame:
+    """Change-feed texts to rows of operation, report_date and status.
+
+    A text is a JSON list of objects with `Operation` and `Item`. One that is anything else
+    gives a single row without values that keeps it in `_bad`; an empty list gives none.
+    Fields that an entry lacks are null.
+    """
+    rest = [c for c in df.columns if c != body]
+    parsed = df.select(*rest, F.col(body).cast("string").alias("_text")).withColumn("_whole", F.expr(one_value("_text")))
+    items = F.expr(
+        "CASE WHEN schema_of_variant(_whole) LIKE 'ARRAY%' THEN try_variant_get(_whole, '$', 'array<variant>') END"
+    )
+    bad = F.when(F.col("_items").isNull(), F.coalesce("_text", F.lit("")))
+    listed = parsed.withColumn("_items", items).withColumn("_bad", bad).withColumn(
+        "_item", F.explode(F.coalesce("_items", F.expr("array(cast(null as variant))")))
+    )
+    field = lambda path: F.try_variant_get("_item", path, "string")
+    return listed.select(
+        *rest, field("$.Operation").alias("operation"), field("$.Item.report_date").alias("report_date"),
+        field("$.Item.status").alias("status"), "_bad",
+    )
+
+
 def event_schema() -> T.StructType:
     return T.StructType([*READING_EVENT.fields, T.StructField("_bad", T.StringType())])
 
