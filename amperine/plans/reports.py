@@ -114,9 +114,12 @@ def q_forecast_append(spark, sf_dir):
     """Two models, each appended to the stored table, read from there."""
     panel, base = _forecast_input(spark, sf_dir)
     path = scratch_path(spark, "forecasts")
-    for name, season in SEASONS.items():
-        P.append_forecast(P.run_forecast(panel, base, seasons={name: season}), path)
-    return rounded(spark.read.parquet(path).drop("created_at", "base_date"))
+    parts = [settle(P.run_forecast(panel, base, seasons={name: season})) for name, season in SEASONS.items()]
+    stored = [part for part in parts if not part.isEmpty()]  # a short history has nothing to append
+    for part in stored:
+        P.append_forecast(part, path)
+    table = spark.read.parquet(path).drop("base_date") if stored else parts[0]
+    return rounded(table.drop("created_at"))
 
 
 def q_custom_forecast(spark, sf_dir):
