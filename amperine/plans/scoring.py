@@ -61,10 +61,24 @@ def q_one_hot(spark, sf_dir):
     return rows.select("equipment_id", "window_end_time", *one_hot(F.col("equipment_id"), MODULES))
 
 
-def q_validate_rows(spark, sf_dir):
+def q_one_hot_levels(spark, sf_dir):
+    """`one_hot` over the windows of all levels."""
+    return scoring_rows(spark, sf_dir).select(*_ID, *one_hot(F.col("equipment_id"), MODULES))
+
+
+def _validated(rows):
     level = F.when(F.col("event_count") == 3, "5m").when(F.col("event_count") != 4, F.col("aggregation_level"))
-    rows = scoring_rows(spark, sf_dir, ["15m", "1h"]).withColumn("aggregation_level", level)
-    return validate_rows(rows).select(*_ID, "is_valid", "error")
+    return validate_rows(rows.withColumn("aggregation_level", level))
+
+
+def q_validate_rows(spark, sf_dir):
+    return _validated(scoring_rows(spark, sf_dir, ["15m", "1h"])).select(*_ID, "is_valid", "error")
+
+
+def q_validate_rows_levels(spark, sf_dir):
+    """`validate_rows` over the windows of all levels, next to the level they come from."""
+    rows = scoring_rows(spark, sf_dir).withColumn("level", F.col("aggregation_level"))
+    return _validated(rows).select("level", *_ID, "is_valid", "error")
 
 
 def q_scaler_stats(spark, sf_dir):
@@ -168,9 +182,9 @@ def q_score_with_forest(spark, sf_dir):
     return score(rows.drop("features"), limits, config, forest, known=MODULES).select(*_FLAT)
 
 
-def payload_bodies(spark, sf_dir):
+def payload_bodies(spark, sf_dir, levels=K.LEVELS, key=_ID):
     """Scoring rows as request texts in the four accepted forms, and some broken ones."""
-    rows = scoring_rows(spark, sf_dir, ["15m"])
+    rows = scoring_rows(spark, sf_dir, levels)
     fields = [F.col(c) if c != "window_end_time" else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
               for c in K.REQUIRED_SCORING_COLUMNS]
     item = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
@@ -187,22 +201,32 @@ def payload_bodies(spark, sf_dir):
         .when(form == 8, F.concat(F.lit("["), item, F.lit("] ["), item, F.lit("]")))
         .otherwise(F.concat(item, F.lit("\n"), item, F.lit(" tail")))
     )
-    return rows.select(F.concat_ws(" ", "equipment_id", F.col("window_end_time").cast("string")).alias("message"), body.alias("body"))
+    return rows.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in key]).alias("message"), body.alias("body"))
 
 
-def q_decode_payloads(spark, sf_dir):
-    decoded = decode_payloads(payload_bodies(spark, sf_dir))
-    return rounded(decoded.select(
-        "message", "pos", "equipment_id", "window_end_time", "event_count", "avg_power_factor", "carbon_emission_kg",
+def _decoded(bodies, *more):
+    return rounded(decode_payloads(bodies).select(
+        "message", "pos", "equipment_id", "window_end_time", *more, "event_count", "avg_power_factor", "carbon_emission_kg",
         F.array_contains("keys", "completeness_ratio").alias("sent_completeness"), F.col("error").isNotNull().alias("rejected")))
 
 
+def q_decode_payloads(spark, sf_dir):
+    return _decoded(payload_bodies(spark, sf_dir, ["15m"], _ID[:2]))
+
+
+def q_decode_payloads_levels(spark, sf_dir):
+    """`decode_payloads` over the windows of all levels; the message key holds the level."""
+    return _decoded(payload_bodies(spark, sf_dir), "aggregation_level")
+
+
 QUERIES = {
     "fit_thresholds": q_fit_thresholds,
     "fallback_thresholds": q_fallback_thresholds,
     "derive_features": q_derive_features,
     "one_hot": q_one_hot,
+    "one_hot_levels": q_one_hot_levels,
     "validate_rows": q_validate_rows,
+    "validate_rows_levels": q_validate_rows_levels,
     "scaler_stats": q_scaler_stats,
     "rule_score": q_rule_score,
     "rule_findings": q_rule_findings,
@@ -217,6 +241,7 @@ QUERIES = {
     "iforest": q_iforest,
     "score_with_forest": q_score_with_forest,
     "decode_payloads": q_decode_payloads,
+    "decode_payloads_levels": q_decode_payloads_levels,
 }
 
 _IDS = ", ".join(_ID)
@@ -262,10 +287,19 @@ SQL = {
     + "SELECT equipment_id, window_end_time, "
     + ", ".join(f"CAST(CASE WHEN equipment_id = '{m}' THEN 1 ELSE 0 END AS DOUBLE) AS equipment_id_{m}" for m in MODULES)
     + " FROM scoring_rows",
+    "one_hot_levels": S.with_(*S.scoring_rows())
+    + f"SELECT {_IDS}, "
+    + ", ".join(f"CAST(CASE WHEN equipment_id = '{m}' THEN 1 ELSE 0 END AS DOUBLE) AS equipment_id_{m}" for m in MODULES)
+    + " FROM scoring_rows",
     "validate_rows": S.with_(*S.scoring_rows(["15m", "1h"]))
     + "SELECT equipment_id, window_end_time, CASE WHEN event_count = 3 THEN '5m' WHEN event_count <> 4 THEN aggregation_level END AS aggregation_level, "
     "event_count NOT IN (3, 4) AS is_valid, CASE event_count WHEN 3 THEN 'unsupported aggregation_level 5m' "
     "WHEN 4 THEN 'unsupported aggregation_level None' END AS error FROM scoring_rows",
+    "validate_rows_levels": S.with_(*S.scoring_rows())
+    + "SELECT aggregation_level AS level, equipment_id, window_end_time, "
+    "CASE WHEN event_count = 3 THEN '5m' WHEN event_count <> 4 THEN aggregation_level END AS aggregation_level, "
+    "event_count NOT IN (3, 4) AS is_valid, CASE event_count WHEN 3 THEN 'unsupported aggregation_level 5m' "
+    "WHEN 4 THEN 'unsupported aggregation_level None' END AS error FROM scoring_rows",
     "scaler_stats": S.with_(*S.scoring_rows(), S.DERIVED)
     + " UNION ALL ".join(
         f"SELECT aggregation_level, {i} AS position, {S.r6('mean', f'avg(CAST(CAST({v} AS FLOAT) AS DOUBLE))')}, "
@@ -308,4 +342,14 @@ SQL = {
     + S.r6("avg_power_factor", "CASE WHEN form < 4 THEN avg_power_factor END") + ", "
     + S.r6("carbon_emission_kg", "CASE WHEN form < 4 THEN carbon_emission_kg END")
     + ", CASE WHEN form < 4 THEN false END AS sent_completeness, form >= 4 AS rejected FROM placed",
+    "decode_payloads_levels": S.with_(
+        *S.scoring_rows(),
+        "copies AS (SELECT *, event_count % 10 AS form FROM scoring_rows)",
+        "placed AS (SELECT *, CASE WHEN form NOT BETWEEN 5 AND 8 THEN 0 END AS pos FROM copies UNION ALL SELECT *, 1 FROM copies WHERE form IN (3, 4, 9))",
+    ) + f"SELECT concat(equipment_id, ' ', {_WHEN}, ' ', aggregation_level) AS message, pos, CASE WHEN form < 4 THEN equipment_id END AS equipment_id, "
+    f"CASE WHEN form < 4 THEN {_WHEN} END AS window_end_time, CASE WHEN form < 4 THEN aggregation_level END AS aggregation_level, "
+    "CASE WHEN form < 4 THEN CAST(event_count AS DOUBLE) END AS event_count, "
+    + S.r6("avg_power_factor", "CASE WHEN form < 4 THEN avg_power_factor END") + ", "
+    + S.r6("carbon_emission_kg", "CASE WHEN form < 4 THEN carbon_emission_kg END")
+    + ", CASE WHEN form < 4 THEN false END AS sent_completeness, form >= 4 AS rejected FROM placed",
 }

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,6 +12,8 @@ from amperine.operators.injection import inject_anomaly
 from amperine.operators.iforest import fit_iforest
 from amperine.operators.thresholds import fit_thresholds
 from amperine.operators.windows import aggregate_readings
+from amperine.plans.derived import scoring_rows
+from amperine.plans.streams import q_stream_score
 from amperine.schemas import MEASURES
 from amperine.sources.readings import to_event_json
 from amperine.streaming.aggregation import start_aggregations
@@ -23,6 +26,7 @@ from test_windows import as_rows
 
 START = datetime(2025, 4, 1, 10)
 AS_OF = datetime(2025, 6, 1)
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def readings(spark, n=240, step=20, machines=2):
@@ -180,3 +184,14 @@ def test_injection_marks_the_middle_timestamp(spark):
     assert {r.synthetic_anomaly_type for r in got.filter("not synthetic_anomaly").collect()} == {"normal"}
     event = json.loads(to_event_json(got, as_of="2025-06-01T00:00:00").filter("value like '%overload%'").first().value)
     assert event["event_time"] == "2025-06-01T00:00:00" and event["synthetic_anomaly"] is True and len(event) == 21
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_the_registered_stream_scores_every_window_of_every_level(spark):
+    names = ["equipment_id", "window_end_time", "aggregation_level"]
+    rows = scoring_rows(spark, SF_DIR).withColumn("form", F.col("event_count") % 10).filter("form < 4")
+    sent = rows.unionByName(rows.filter("form = 3"))  # twice in its message
+    count = lambda df: df.select(names[0], F.col(names[1]).cast("timestamp_ntz").alias(names[1]), names[2]).groupBy(*names).count()
+    want, got = count(sent), count(q_stream_score(spark, SF_DIR))
+    assert {r[0] for r in got.select(names[2]).distinct().collect()} == set(K.LEVELS)
+    assert as_rows(got) == as_rows(want)
