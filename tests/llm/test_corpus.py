@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -378,3 +379,58 @@ def test_stages_keep_columns_and_pack_what_is_left(docs, spark):
     unique = minhash.keep_one_each(exact.drop_copies(docs))
     ids = [r.doc_id for r in unique.collect()]
     assert len(ids) == len(set(ids))
+
+
+def mixed(rows):
+    """Times that each (doc_id, text, source) is taken, by a plain loop over sources and sizes."""
+    number = lambda text, digits: int(hashlib.md5(text.encode()).hexdigest()[:digits], 16)
+    sized = defaultdict(list)
+    for key, text, source in rows:
+        sized[source].append((len(re.findall(r"[^\x20\x09-\x0D]+", text)), key))
+    names = sorted(sized, key=lambda s: (s is None, s or ""))
+    total = {s: sum(n for n, _ in sized[s]) for s in names}
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target, mass, open_ = {}, 1.5 * sum(total.values()), list(names)
+    while full := [s for s in open_ if 2 * total[s] <= mass / sum(weight[o] for o in open_) * weight[s]]:
+        for s in full:
+            target[s] = 2.0 * total[s]
+            mass -= target[s]
+            open_.remove(s)
+        if not open_:
+            break
+    target |= {s: mass / sum(weight[o] for o in open_) * weight[s] for s in open_}
+    taken = Counter()
+    for s in names:
+        each, offset = target[s] / total[s], number("mix" + (s or ""), 13) / 2**52
+        for rank, (_, key) in enumerate(sorted(sized[s]), 1):
+            taken[key] += int(rank * each + offset) - int((rank - 1) * each + offset)
+    return taken
+
+
+def test_pipeline_against_a_loop_over_its_stages(docs, spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    # of one language only, so a text is recognised if it has a letter
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    unique = {}
+    for row in rows:
+        if row[1] not in unique or (unique[row[1]][0] or -1) < (-1 if row[0] is None else row[0]):
+            unique[row[1]] = row
+    component, _ = brute_groups([(k, t) for k, t, _ in unique.values()], 5)
+    left = [row for row in unique.values() if component[row[0]] == row[0]]
+    assert len(rows) > len(unique) > len(left) > 3
+    taken, tokenizer, want = mixed(left), Tokenizer.from_file(TOKENIZER), Counter()
+    assert set(taken.values()) > {1}
+    for key, text, _ in left:
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids) + 1
+        for piece, start in enumerate(range(0, n, 4096)):
+            want[key, piece, start, min(4096, n - start)] += taken[key]
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((p.doc_id, p.piece, p.start, p.length) for p in pieces) == +want
+    places = defaultdict(list)
+    for p in pieces:
+        places[p.sequence_id].append((p.offset, p.length))
+    for own in places.values():
+        ends = [0, *(offset + length for offset, length in sorted(own))]
+        assert all(end == offset for end, (offset, _) in zip(ends, sorted(own))) and ends[-1] <= 4096
