@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from amperine.llm import exact, language, minhash, mixing, packing, quality, rules, toxicity, urls, warc
+from amperine.llm import (
+    exact, language, language_model, minhash, mixing, packing, quality, rules, spelling, toxicity, urls, warc, whitening,
+)
 from amperine.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -66,9 +68,26 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("file", "start")
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_lm_scoring(spark, sf_dir):
+    """Learns from the documents outside fold 1 of five and scores all of them."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 1
+    scores = language_model.score(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.withColumn("held_out", held_out)
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_best_fit_packing, op2_minhash_dedup, op3_source_mixing, op4_quality_classifier, op5_toxicity, op6_quality_rules,
-    op7_exact_dedup, op8_url_filters, op9_language_id, op10_warc,
+    op7_exact_dedup, op8_url_filters, op9_language_id, op10_warc, op11_embedding_whitening, op12_lm_scoring,
+    op13_spelling_variants,
 )}
 
 SQL = {
