@@ -9,9 +9,6 @@ import numpy as np
 
 _WORD = 64
 _MOST_LOW = 56
-_ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
-# place of the k-th set bit of a byte
-_PLACE = np.array([[([b for b in range(8) if i >> b & 1] + [8] * 8)[k] for k in range(8)] for i in range(256)], np.uint8)
 
 
 def encode(values: np.ndarray) -> list[np.ndarray]:
@@ -41,27 +38,25 @@ class Sequence:
     """Reads the parts of `encode`; every method takes and returns arrays."""
 
     def __init__(self, parts: list[np.ndarray]):
-        (self.n, self.low), self.upper, self.before, lower = (int(x) for x in parts[0]), *parts[1:]
+        (self.n, self.low), upper, self.before, lower = (int(x) for x in parts[0]), *parts[1:]
+        self.upper = upper.view("<u8")
         self.lower = np.ndarray(max(0, len(lower) - 7), "<u8", lower, strides=(1,))
         self.before_zeros = np.arange(len(self.before)) * _WORD - self.before
         self.zeros = int(self.before_zeros[-1])
 
     def _select(self, k: np.ndarray, before: np.ndarray, flip: int) -> np.ndarray:
-        """Place of the k-th set bit of the unary part, or unset one."""
-        word = np.searchsorted(before, k, "right") - 1
-        left = k - before[word]
-        at = word * 8
-        inside = np.zeros(len(k), np.int64)
-        found = np.zeros(len(k), np.uint8)
-        open_ = np.ones(len(k), bool)
-        for b in range(8):
-            byte = self.upper[at + b] ^ np.uint8(flip)
-            ones = _ONES[byte]
-            here = open_ & (left < ones)
-            inside[here], found[here] = b, byte[here]
-            open_ &= ~here
-            left = np.where(open_, left - ones, left)
-        return (at + inside) * 8 + _PLACE[found, left]
+        """Place of the k-th set bit of the unary part, or with flip = -1 of the k-th unset one."""
+        at = np.searchsorted(before, k, "right") - 1
+        left = (k - before[at]).astype(np.uint8)
+        word = self.upper[at] ^ np.uint64(flip & 0xFFFFFFFFFFFFFFFF)
+        at = at * _WORD
+        for half in (32, 16, 8, 4, 2, 1):
+            ones = np.bitwise_count(word & np.uint64((1 << half) - 1))
+            beyond = left >= ones
+            left = left - ones * beyond
+            word = word >> (np.uint64(half) * beyond)
+            at = at + half * beyond
+        return at
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         at = i * self.low
@@ -94,7 +89,7 @@ class Sequence:
     def _bucket(self, high: np.ndarray) -> np.ndarray:
         """Number of elements with upper bits of at most `high`."""
         known = high < self.zeros
-        place = self._select(np.where(known, high, 0), self.before_zeros, 0xFF)
+        place = self._select(np.where(known, high, 0), self.before_zeros, -1)
         return np.minimum(np.where(known, place - high, self.n), self.n)
 
 

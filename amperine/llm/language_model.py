@@ -12,8 +12,8 @@ leaves to the lower level, as 16-bit codes of their logarithm (step 1 / STEPS).
 1. Texts become words as 64-bit hashes and are written in blocks of about BLOCK entries, an
    entry being three tokens in a row. Texts are whole: a long one goes on in the next block.
 2. Every block sends its distinct entries, with their training counts, to the shards of their
-   first word. A shard adds the counts up, builds its trie in a memory-mapped file and
-   answers the entries of every block from it. Each count, of any order, comes from the trie
+   first word, GROUP of them at a time with one word list. A shard adds the counts up, builds
+   its trie in a memory-mapped file and answers the entries of every block from it. Each count, of any order, comes from the trie
    node of a context, so nothing else is gathered. The number of shards grows with the input,
    and all parts of the model with it; nothing is pruned.
 3. Each block meets its answers and adds up the scores of its texts.
@@ -41,13 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from amperine.llm.elias_fano import Sequence, Trie, encode
+from amperine.llm.elias_fano import Trie
 from amperine.session import settle
 
 M2, M3 = 10_000.0, 16.0
 STEPS = 4096
-BLOCK = 1 << 20
-SHARD = 1 << 22
+BLOCK = 2_000_000
+SHARD = 1 << 21
+GROUP = 8
 HEAVY = 256
 CHARS = 1 << 20
 START, END, NIL = 1, 2, 3
@@ -127,13 +128,14 @@ def packed(array: np.ndarray, kind: str, rising: bool = False) -> bytes:
     array = array.astype(kind)
     if rising and len(array):
         array = np.concatenate([array[:1], np.diff(array)])
-    planes = array.view(np.uint8).reshape(len(array), -1).T
+    planes = array.view(np.uint8).reshape(len(array), array.itemsize).T
     return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpacked(data: bytes, kind: str, rising: bool = False) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    planes = planes.reshape(width, len(planes) // width)
     array = np.ascontiguousarray(planes.T).view(kind).ravel()
     return np.cumsum(array, dtype=kind) if rising else array
 
@@ -228,13 +230,17 @@ def _frequent(words: np.ndarray, tokens: np.ndarray, notes: np.ndarray) -> list[
     return out
 
 
+def _stream(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Notes on its segments, words and tokens of a written block."""
+    notes = unpacked(row["segments"], "<i8").reshape(-1, len(SEGMENT))
+    return notes, unpacked(row["words"], "<u8", True), unpacked(row["tokens"], "<u4").astype(np.int64)
+
+
 class Block:
     """A block's distinct entries in order, with counts, shards and the place of each in the text."""
 
     def __init__(self, row: dict, shards: int, heavy: set):
-        self.notes = unpacked(row["segments"], "<i8").reshape(-1, len(SEGMENT))
-        self.words = unpacked(row["words"], "<u8", True)
-        tokens = unpacked(row["tokens"], "<u4").astype(np.int64)
+        self.notes, self.words, tokens = _stream(row)
         at, segment, place = _entries(tokens, self.notes)
         key = tokens[at] << 42 | tokens[at + 1] << 21 | tokens[at + 2]
         distinct, self.inverse = np.unique(key, return_inverse=True)
@@ -273,46 +279,68 @@ def heavy_contexts(table: DataFrame, total: int) -> dict[tuple[int, int], int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row, 1, set())
-                words = block.words.astype(np.int64)
-                a, b = words[block.a], words[block.b]
-                sums = [int(block.counts[(a == x) & ((b == y) | (y == -1))].sum()) for x, y in found]
+                notes, words, tokens = _stream(row)
+                at, segment, place = _entries(tokens, notes)
+                at = at[(place < notes[segment, 1]) & (notes[segment, 3] > 0)]
+                where = {int(w): i for i, w in enumerate(words.astype(np.int64))}
+                singles = np.bincount(tokens[at], minlength=len(words))
+                pairs = {}
+                for x in {x for x, y in found if y != -1 and x in where}:
+                    pairs[x] = np.bincount(tokens[at[tokens[at] == where[x]] + 1], minlength=len(words))
+                sums = [0 if x not in where else int(singles[where[x]]) if y == -1 else int(pairs[x][where[y]]) if y in where else 0
+                        for x, y in found]
                 yield pa.RecordBatch.from_arrays([pa.array(range(len(found)), pa.int32()), pa.array(sums, pa.int64())], ["i", "n"])
 
     sums = table.select("segments", "words", "tokens").mapInArrow(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n"))
     return {found[r.i]: r.n for r in sums.collect()}
 
 
-def _payload(block: Block, shard: int) -> bytes:
-    """Distinct entries of a block that belong to a shard, with their own word list."""
-    own = np.flatnonzero(block.shard == shard)
-    parts = [block.a[own], block.b[own], block.c[own]]
-    used, ids = np.unique(np.concatenate(parts), return_inverse=True)
-    a, b, c = np.split(ids, 3)
-    pieces = [packed(block.words[used], "<u8", True), packed(a, "<u4", True), packed(b, "<u4"), packed(c, "<u4"),
-              packed(block.counts[own], "<u8")]
-    return np.array([len(p) for p in pieces], "<i8").tobytes() + b"".join(pieces)
+def _joined(pieces: list[bytes]) -> bytes:
+    return np.array([len(pieces), *map(len, pieces)], "<i8").tobytes() + b"".join(pieces)
+
+
+def _parted(data: bytes) -> list[bytes]:
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    ends = 8 * (n + 1) + np.cumsum(np.frombuffer(data, "<i8", n + 1)[1:])
+    return [data[start:end] for start, end in zip([8 * (n + 1), *ends[:-1]], ends)]
+
+
+def _members(block: Block, group: int) -> list[np.ndarray]:
+    """Places of a block's entries in the shards of a group."""
+    near = np.flatnonzero(block.shard // GROUP == group)
+    return [near[block.shard[near] == group * GROUP + k] for k in range(GROUP)]
 
 
-def _opened(data: bytes) -> list[np.ndarray]:
-    sizes = np.frombuffer(data, "<i8", 5)
-    ends = 40 + np.cumsum(sizes)
-    kinds = [("<u8", True), ("<u4", True), ("<u4", False), ("<u4", False), ("<u8", False)]
-    return [unpacked(data[end - size : end], *kind) for size, end, kind in zip(sizes, ends, kinds)]
+def _payload(block: Block, group: int) -> bytes:
+    """Distinct entries of a block that belong to a group of shards, with their own word list."""
+    members = _members(block, group)
+    every = np.concatenate(members)
+    used = np.zeros(len(block.words), bool)
+    for ids in (block.a, block.b, block.c):
+        used[ids[every]] = True
+    new = np.cumsum(used) - 1
+    pieces = [packed(block.words[used], "<u8", True)]
+    for own in members:
+        pieces += [packed(new[block.a[own]], "<u4", True), packed(new[block.b[own]], "<u4"),
+                   packed(new[block.c[own]], "<u4"), packed(block.counts[own], "<u8")]
+    return _joined(pieces)
 
 
 class Shard:
-    """The trie of all entries of a shard, built from the payloads of the blocks."""
+    """The trie of all entries of a shard, from first, second and third word ids and counts by block.
 
-    def __init__(self, payloads: list[list[np.ndarray]], heavy: dict[tuple[int, int], int], m2: float, m3: float):
-        vocabulary = np.unique(np.concatenate([p[0] for p in payloads]))
+    vocabulary: the words by id, in rising order.
+    """
+
+    def __init__(
+        self, entries: list[list[np.ndarray]], vocabulary: np.ndarray, heavy: dict[tuple[int, int], int], m2: float, m3: float
+    ):
         size = len(vocabulary)
         pair, last, count = [], [], []
-        for words, a, b, c, n in payloads:
-            own = np.searchsorted(vocabulary, words)
+        for a, b, c, n in entries:
             seen = n > 0
-            pair.append(own[a[seen]] * size + own[b[seen]])
-            last.append(own[c[seen]])
+            pair.append(a[seen] * size + b[seen])
+            last.append(c[seen])
             count.append(n[seen].astype(np.int64))
         pairs, of_pair = np.unique(np.concatenate(pair), return_inverse=True)
         keys, of_key = np.unique(of_pair * size + np.concatenate(last), return_inverse=True)
@@ -332,72 +360,93 @@ class Shard:
         self.trie = Trie(firsts, pairs % size, three, two_of, three_of, {
             "own3": code(c3 / (c2[three_of] + m3)), "rest3": code(m3 / (c2 + m3)),
             "own2": code(c2 / (c1[two_of] + m2)), "count": c1.astype(np.int64),
-            **{f"words.{k}": part for k, part in enumerate(encode(vocabulary))},
         })
-        self.words = Sequence([self.trie[f"words.{k}"] for k in range(4)])
+        self.size = size
 
-    def answer(self, payload: list[np.ndarray]) -> bytes:
-        """Codes and counts of a payload's entries, in its order; what is not in the trie counts zero."""
-        words, a, b, c, _ = payload
-        ids = self.words.successor(words)[0]
+    def answer(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
+        """Codes and counts of entries in their order; what is not in the trie counts zero."""
         firsts, of_first = np.unique(a, return_inverse=True)
-        place1, found1 = self.trie.word(ids[firsts])
-        pairs, of_pair = np.unique(of_first * len(words) + b, return_inverse=True)
-        parent, child = pairs // len(words), pairs % len(words)
+        place1, found1 = self.trie.word(firsts)
+        pairs, of_pair = np.unique(of_first * self.size + b, return_inverse=True)
+        parent, child = pairs // self.size, pairs % self.size
         place2, found2 = np.zeros(len(pairs), np.int64), found1[parent]
         live = np.flatnonzero(found2)
-        place2[live], found2[live] = self.trie.child("two", place1[parent[live]], ids[child[live]])
+        place2[live], found2[live] = self.trie.child("two", place1[parent[live]], child[live])
         place3, found3 = np.zeros(len(a), np.int64), found2[of_pair]
         live = np.flatnonzero(found3)
-        place3[live], found3[live] = self.trie.child("three", place2[of_pair[live]], ids[c[live]])
+        place3[live], found3[live] = self.trie.child("three", place2[of_pair[live]], c[live])
 
         def values(name: str, place: np.ndarray, found: np.ndarray, other: int) -> np.ndarray:
             stored = self.trie[name]
             return np.where(found, stored[np.where(found, place, 0)], other) if len(stored) else np.full(len(place), other)
 
         # an unseen context leaves all to the lower level: code 1 stands for 1
-        pieces = [
-            packed(values("own3", place3, found3, 0), "<u2"), packed(values("rest3", place2, found2, 1)[of_pair], "<u2"),
-            packed(values("own2", place2, found2, 0)[of_pair], "<u2"), packed(values("count", place1, found1, 0)[of_first], "<u8"),
+        return [
+            values("own3", place3, found3, 0), values("rest3", place2, found2, 1)[of_pair],
+            values("own2", place2, found2, 0)[of_pair], values("count", place1, found1, 0)[of_first],
         ]
-        return np.array([len(p) for p in pieces], "<i8").tobytes() + b"".join(pieces)
+
+
+def _reply(parts: list[list[np.ndarray]]) -> bytes:
+    """Answers of a payload: the distinct triples of codes, which of them each entry has, and the counts."""
+    own3, rest3, own2, count = (np.concatenate(p).astype(np.int64) for p in zip(*parts))
+    triples, which = np.unique(own3 << 32 | rest3 << 16 | own2, return_inverse=True)
+    return _joined([packed(triples, "<u8", True), packed(which, "<u4"), packed(count, "<u8")])
+
+
+def _replied(data: bytes) -> list[np.ndarray]:
+    triples, which, count = (unpacked(p, *k) for p, k in zip(_parted(data), (("<u8", True), ("<u4",), ("<u8",))))
+    codes = triples[which]
+    return [(codes >> np.uint64(k)).astype(np.uint16) for k in (32, 16, 0)] + [count]
 
 
 def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) -> DataFrame:
-    """Written block, shard, answer and known (distinct words, on rows without a block)."""
+    """Written block, group, answer and known (distinct words, on rows without a block)."""
     apart = set(heavy)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, shards, apart)
-                for shard in np.unique(block.shard):
+                for group in np.unique(block.shard // GROUP):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([row["block"]], pa.int64()), pa.array([shard], pa.int64()),
-                        pa.array([_payload(block, shard)], pa.binary()),
-                    ], ["block", "shard", "payload"])
+                        pa.array([row["block"]], pa.int64()), pa.array([group], pa.int64()),
+                        pa.array([_payload(block, group)], pa.binary()),
+                    ], ["block", "group", "payload"])
 
     def reply(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
-        payloads = [_opened(x.as_py()) for x in rows.column("payload")]
-        shard = Shard(payloads, heavy, m2, m3)
-        replies = [shard.answer(p) for p in payloads]
+        payloads = [_parted(x.as_py()) for x in rows.column("payload")]
+        lists = [unpacked(p[0], "<u8", True) for p in payloads]
+        vocabulary = np.unique(np.concatenate(lists))
+        ids = [np.searchsorted(vocabulary, words) for words in lists]
+        replies: list[list] = [[] for _ in payloads]
+        known = 0
+        for k in range(GROUP):
+            entries = []
+            for own, p in zip(ids, payloads):
+                a, b, c = (own[unpacked(x, "<u4", i == 0)] for i, x in enumerate(p[1 + 4 * k : 4 + 4 * k]))
+                entries.append([a, b, c, unpacked(p[4 + 4 * k], "<u8")])
+            shard = Shard(entries, vocabulary, heavy, m2, m3)
+            known += shard.known
+            for parts, (a, b, c, _) in zip(replies, entries):
+                parts.append(shard.answer(a, b, c))
         return pa.table({
             "block": pa.array([*rows.column("block").to_pylist(), None], pa.int64()),
-            "shard": pa.array([key[0].as_py()] * (len(rows) + 1), pa.int64()),
-            "answer": pa.array([*replies, None], pa.binary()),
-            "known": pa.array([*[None] * len(rows), shard.known], pa.int64()),
+            "group": pa.array([key[0].as_py()] * (len(rows) + 1), pa.int64()),
+            "answer": pa.array([*map(_reply, replies), None], pa.binary()),
+            "known": pa.array([*[None] * len(rows), known], pa.int64()),
         })
 
-    sent = table.select("block", "segments", "words", "tokens").mapInArrow(deal, "block long, shard long, payload binary")
-    return settle(sent.groupBy("shard").applyInArrow(reply, "block long, shard long, answer binary, known long"))
+    sent = table.select("block", "segments", "words", "tokens").mapInArrow(deal, "block long, group long, payload binary")
+    return settle(sent.groupBy("group").applyInArrow(reply, "block long, group long, answer binary, known long"))
 
 
 def _scores(block: Block, replies: dict[int, list[np.ndarray]], total: int, known: int, m2: float) -> list[np.ndarray]:
     """Tokens, known tokens, base and model log10 probability of each segment of a block."""
     size = len(block.a)
     own3, rest3, own2, count = (np.zeros(size, kind) for kind in ("<u2", "<u2", "<u2", "<u8"))
-    for shard, parts in replies.items():
-        mine = np.flatnonzero(block.shard == shard)
+    for group, parts in replies.items():
+        mine = np.concatenate(_members(block, group))
         for whole, part in zip((own3, rest3, own2, count), parts):
             whole[mine] = part
     scored = np.flatnonzero(block.place < block.notes[block.segment, 2])
@@ -439,17 +488,15 @@ def score(
         keys = blocks_.column("keys").chunk(0)[0].values
         block, parts = Block(row, shards, apart), {}
         for reply in replies_.to_pylist():
-            sizes = np.frombuffer(reply["answer"], "<i8", 4)
-            ends = 32 + np.cumsum(sizes)
-            parts[reply["shard"]] = [unpacked(reply["answer"][e - s : e], k) for s, e, k in zip(sizes, ends, ("<u2", "<u2", "<u2", "<u8"))]
-        if set(parts) != set(np.unique(block.shard).tolist()):
+            parts[reply["group"]] = _replied(reply["answer"])
+        if set(parts) != set(np.unique(block.shard // GROUP).tolist()):
             raise ValueError(f"block {row['block']} has not all its answers")
         found = _scores(block, parts, total, known, m2)
         return pa.table([pa.array(row["rows"], pa.int64()), keys, *[pa.array(x) for x in found]], names=schema.names)
 
     sides = (
         table.select("block", "rows", "keys", "segments", "words", "tokens").groupBy("block"),
-        replies.filter("block IS NOT NULL").select("block", "shard", "answer").groupBy("block"),
+        replies.filter("block IS NOT NULL").select("block", "group", "answer").groupBy("block"),
     )
     parts = sides[0].cogroup(sides[1]).applyInArrow(add, schema)
     return parts.groupBy("row").agg(

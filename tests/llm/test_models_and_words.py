@@ -165,7 +165,7 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize("block, shard", [(1 << 20, 1 << 22), (700, 900)])
+@pytest.mark.parametrize("block, shard", [(1 << 20, 1 << 22), (700, 300)])
 def test_scores_equal_plain_counting(spark, monkeypatch, block, shard):
     monkeypatch.setattr(language_model, "BLOCK", block)
     monkeypatch.setattr(language_model, "SHARD", shard)
