@@ -299,7 +299,8 @@ def _joined(pieces: list[bytes]) -> bytes:
     return np.array([len(pieces), *map(len, pieces)], "<i8").tobytes() + b"".join(pieces)
 
 
-def _parted(data: bytes) -> list[bytes]:
+def _parted(data: bytes) -> list[memoryview]:
+    data = memoryview(data)
     n = int(np.frombuffer(data, "<i8", 1)[0])
     ends = 8 * (n + 1) + np.cumsum(np.frombuffer(data, "<i8", n + 1)[1:])
     return [data[start:end] for start, end in zip([8 * (n + 1), *ends[:-1]], ends)]
@@ -387,17 +388,22 @@ class Shard:
         ]
 
 
-def _reply(parts: list[list[np.ndarray]]) -> bytes:
+def _reply(own3: np.ndarray, rest3: np.ndarray, own2: np.ndarray, count: np.ndarray) -> bytes:
     """Answers of a payload: the distinct triples of codes, which of them each entry has, and the counts."""
-    own3, rest3, own2, count = (np.concatenate(p).astype(np.int64) for p in zip(*parts))
-    triples, which = np.unique(own3 << 32 | rest3 << 16 | own2, return_inverse=True)
+    codes = own3.astype(np.int64) << 32 | rest3.astype(np.int64) << 16 | own2
+    triples, which = np.unique(codes, return_inverse=True)
     return _joined([packed(triples, "<u8", True), packed(which, "<u4"), packed(count, "<u8")])
 
 
 def _replied(data: bytes) -> list[np.ndarray]:
-    triples, which, count = (unpacked(p, *k) for p, k in zip(_parted(data), (("<u8", True), ("<u4",), ("<u8",))))
-    codes = triples[which]
-    return [(codes >> np.uint64(k)).astype(np.uint16) for k in (32, 16, 0)] + [count]
+    """Own share of a 3-gram, rest of its context, own share of its first two words, count of the first."""
+    codes, counts = [], []
+    for part in _parted(data):
+        triples, which, count = (unpacked(p, *k) for p, k in zip(_parted(part), (("<u8", True), ("<u4",), ("<u8",))))
+        codes.append(triples[which])
+        counts.append(count)
+    whole = np.concatenate(codes)
+    return [(whole >> np.uint64(k)).astype(np.uint16) for k in (32, 16, 0)] + [np.concatenate(counts)]
 
 
 def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) -> DataFrame:
@@ -415,11 +421,11 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
                     ], ["block", "group", "payload"])
 
     def reply(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
-        payloads = [_parted(x.as_py()) for x in rows.column("payload")]
+        payloads = [_parted(x.as_buffer()) for x in rows.column("payload")]
         lists = [unpacked(p[0], "<u8", True) for p in payloads]
         vocabulary = np.unique(np.concatenate(lists))
         ids = [np.searchsorted(vocabulary, words) for words in lists]
-        replies: list[list] = [[] for _ in payloads]
+        replies: list[list[bytes]] = [[] for _ in payloads]
         known = 0
         for k in range(GROUP):
             entries = []
@@ -429,11 +435,11 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
             shard = Shard(entries, vocabulary, heavy, m2, m3)
             known += shard.known
             for parts, (a, b, c, _) in zip(replies, entries):
-                parts.append(shard.answer(a, b, c))
+                parts.append(_reply(*shard.answer(a, b, c)))
         return pa.table({
             "block": pa.array([*rows.column("block").to_pylist(), None], pa.int64()),
             "group": pa.array([key[0].as_py()] * (len(rows) + 1), pa.int64()),
-            "answer": pa.array([*map(_reply, replies), None], pa.binary()),
+            "answer": pa.array([*map(_joined, replies), None], pa.binary()),
             "known": pa.array([*[None] * len(rows), known], pa.int64()),
         })
 
