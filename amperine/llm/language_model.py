@@ -31,6 +31,7 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +43,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from amperine.llm.elias_fano import Trie
-from amperine.session import settle
+from amperine.session import scratch_path, settle
 
 M2, M3 = 10_000.0, 16.0
 STEPS = 4096
 BLOCK = 2_000_000
 SHARD = 1 << 21
-GROUP = 8
+GROUP = 4
 HEAVY = 256
 CHARS = 1 << 20
 START, END, NIL = 1, 2, 3
@@ -164,8 +165,8 @@ def segments(words: np.ndarray, train: bool) -> Iterator[tuple[np.ndarray, tuple
         yield run, (len(run), hi - lo, max(0, min(hi, scored) - lo), int(train))
 
 
-def blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
-    """Written blocks of texts as tokens, with their frequent contexts."""
+def blocks(docs: DataFrame, key: str, text: str, train: Column) -> str:
+    """Writes blocks of texts as tokens, with their frequent contexts, to a table and returns its name."""
     kind = docs.schema[key].dataType
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(T.LongType())),
@@ -205,7 +206,12 @@ def blocks(docs: DataFrame, key: str, text: str, train: Column) -> DataFrame:
             yield written()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), train.alias("train"), key, text)
-    return settle(rows.mapInArrow(pack, schema).withColumn("block", F.monotonically_increasing_id()))
+    spark, name = docs.sparkSession, f"blocks_{uuid.uuid4().hex}"
+    # bucketed, so that only the answers move when a block meets them
+    rows.mapInArrow(pack, schema).withColumn("block", F.monotonically_increasing_id()).write.bucketBy(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "block"
+    ).option("path", scratch_path(spark, "blocks")).saveAsTable(name)
+    return name
 
 
 def _entries(tokens: np.ndarray, notes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -476,7 +482,8 @@ def score(
     The model is learned from the rows for which `train` is true.
     """
     kind = docs.schema[key].dataType
-    table = blocks(docs, key, text, train)
+    spark, name = docs.sparkSession, blocks(docs, key, text, train)
+    table = spark.table(name)
     sums = table.agg(F.sum("entries"), F.sum("train_tokens")).first()
     entries, total = sums[0] or 0, sums[1] or 0
     shards = max(1, -(-entries // SHARD))
@@ -505,7 +512,9 @@ def score(
         replies.filter("block IS NOT NULL").select("block", "group", "answer").groupBy("block"),
     )
     parts = sides[0].cogroup(sides[1]).applyInArrow(add, schema)
-    return parts.groupBy("row").agg(
+    scores = settle(parts.groupBy("row").agg(
         F.first(key).alias(key), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
-    ).drop("row")
+    ).drop("row"))
+    spark.sql(f"DROP TABLE {name}")
+    return scores
