@@ -48,8 +48,8 @@ from amperine.session import scratch_path, settle
 M2, M3 = 10_000.0, 16.0
 STEPS = 4096
 BLOCK = 2_000_000
-SHARD = 1 << 21
-GROUP = 4
+SHARD = 1 << 19
+GROUP = 16
 HEAVY = 256
 CHARS = 1 << 20
 START, END, NIL = 1, 2, 3
