@@ -47,7 +47,7 @@ from amperine.session import scratch_path, settle
 
 M2, M3 = 10_000.0, 16.0
 STEPS = 4096
-BLOCK = 2_000_000
+BLOCK = 1_500_000
 SHARD = 1 << 19
 GROUP = 16
 HEAVY = 256
@@ -217,9 +217,10 @@ def blocks(docs: DataFrame, key: str, text: str, train: Column) -> str:
 def _entries(tokens: np.ndarray, notes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First places of all entries of a block, their segment, and their place in it."""
     lengths = notes[:, 0]
-    segment = np.repeat(np.arange(len(notes)), lengths - 2)
-    place = np.arange(len(segment)) - np.repeat(np.cumsum(lengths - 2) - (lengths - 2), lengths - 2)
-    return (np.cumsum(lengths) - lengths)[segment] + place, segment, place
+    segment = np.repeat(np.arange(len(notes), dtype=np.int32), lengths - 2)
+    first = np.cumsum(lengths - 2) - (lengths - 2)
+    place = np.arange(len(segment), dtype=np.int32) - first.astype(np.int32)[segment]
+    return (np.cumsum(lengths) - lengths).astype(np.int32)[segment] + place, segment, place
 
 
 def _frequent(words: np.ndarray, tokens: np.ndarray, notes: np.ndarray) -> list[list[int]]:
@@ -248,13 +249,20 @@ class Block:
     def __init__(self, row: dict, shards: int, heavy: set):
         self.notes, self.words, tokens = _stream(row)
         at, segment, place = _entries(tokens, self.notes)
-        key = tokens[at] << 42 | tokens[at + 1] << 21 | tokens[at + 2]
-        distinct, self.inverse = np.unique(key, return_inverse=True)
+        key = tokens[at] << 21
+        key |= tokens[at + 1]
+        key <<= 21
+        key |= tokens[at + 2]
+        del tokens, at
+        distinct, inverse = np.unique(key, return_inverse=True)
+        self.inverse = inverse.astype(np.int32)
+        del key, inverse
         counted = (place < self.notes[segment, 1]) & (self.notes[segment, 3] > 0)
         self.counts = np.bincount(self.inverse[counted], minlength=len(distinct))
         self.segment, self.place = segment, place
         mask = (1 << 21) - 1
-        self.a, self.b, self.c = distinct >> 42, distinct >> 21 & mask, distinct & mask
+        self.a, self.b, self.c = (part.astype(np.int32) for part in (distinct >> 42, distinct >> 21 & mask, distinct & mask))
+        del distinct
         self.shard = self._shard(shards, heavy)
 
     def _shard(self, shards: int, heavy: set) -> np.ndarray:
@@ -266,9 +274,9 @@ class Block:
             h[deep] = mixed(h[deep] ^ self.words[self.b[deep]])
             where = {int(w): i for i, w in enumerate(words)}
             pairs = [where[x] * len(words) + where[y] for x, y in heavy if y != -1 and x in where and y in where]
-            deeper = np.isin(self.a * len(words) + self.b, pairs)
+            deeper = np.isin(self.a.astype(np.int64) * len(words) + self.b, pairs)
             h[deeper] = mixed(h[deeper] ^ self.words[self.c[deeper]])
-        return (h % np.uint64(shards)).astype(np.int64)
+        return (h % np.uint64(shards)).astype(np.int32)
 
 
 def heavy_contexts(table: DataFrame, total: int) -> dict[tuple[int, int], int]:
