@@ -3,10 +3,13 @@
 # --- fixed values: aggregation levels -------------------------------------------------
 LEVELS = ["1m", "15m", "1h", "1d"]
 LEVEL_WIDTHS = {"1m": "1 minute", "15m": "15 minutes", "1h": "1 hour", "1d": "1 day"}
+LEVEL_SECONDS = {"1m": 60, "15m": 900, "1h": 3600, "1d": 86400}
 # one event per 5 seconds and machine
 EXPECTED_EVENTS = {"1m": 12, "15m": 180, "1h": 720, "1d": 17280}
 EXPECTED_EQUIPMENT = 13
 EXPECTED_EVENTS_PER_DAY = 17280
+# bounds, in seconds, of the histogram of arrival delays
+LATENESS_EDGES = (0, 1, 5, 60, 300, 900, 3600)
 
 # --- fixed values: electrical limits --------------------------------------------------
 LINE_VOLTAGE_MIN = 360.0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from amperine import constants as K
 from amperine.functions.numeric import integer_or, number_or
 from amperine.functions.timestamps import parse_naive
 from amperine.operators.merge import cut_error
-from amperine.operators.series import previous_in_series
+from amperine.operators.series import islands, previous_in_series
 from amperine.schemas import ALERT_QUEUE
 
 _ALERT_TEXT = ["window_end_time", "aggregation_level"]
@@ -105,8 +107,10 @@ def apply_dispatch_results(queue: DataFrame, results: DataFrame, as_of) -> DataF
 
     Alerts without a result keep their state. Delivery is at least once, so an alert may
     have several results: it counts as sent if one of them says so, and stays one row.
+    Of several errors the one of the latest `attempted_at` is kept where results have that column.
     """
-    once = results.groupBy("alert_id").agg(F.max(F.col("error").isNull()).alias("_sent"), F.max("error").alias("_last"))
+    last = F.max_by("error", "attempted_at") if "attempted_at" in results.columns else F.max("error")
+    once = results.groupBy("alert_id").agg(F.max(F.col("error").isNull()).alias("_sent"), last.alias("_last"))
     marked = once.select(
         "alert_id", F.when(~F.col("_sent"), F.col("_last")).alias("_error"), F.lit(True).alias("_tried")
     )
@@ -189,5 +193,27 @@ def to_anomaly_events(predictions: DataFrame, as_of) -> DataFrame:
     return rows.withColumns(made).select(*ALERT_QUEUE.fieldNames())
 
 
+def anomaly_episodes(predictions: DataFrame) -> DataFrame:
+    """Spells of consecutive warning or critical windows, per machine and level.
+
+    Start and end of the spell, its true duration in minutes, windows in it, how many were
+    critical, the worst level and the highest final score. One row per machine, level and
+    window end is taken for granted.
+    """
+    level = F.lower("final_anomaly_level")
+    alarming = predictions.filter(level.isin("warning", "critical"))
+    seconds = reduce(lambda rest, lv: F.when(F.col("aggregation_level") == lv, K.LEVEL_SECONDS[lv]).otherwise(rest), K.LEVELS, F.lit(None))
+    spells = islands(
+        alarming.withColumn("window_end_time", F.col("window_end_time").cast("timestamp_ntz")),
+        ["equipment_id", "aggregation_level"], "window_end_time", seconds,
+        {"critical_windows": (F.sum, (level == "critical").cast("long")), "max_score": (F.max, F.col("final_anomaly_score"))},
+    )
+    return spells.select(
+        "equipment_id", "aggregation_level", F.col("start").alias("episode_start"), F.col("end").alias("episode_end"), "windows",
+        "critical_windows", F.when(F.col("critical_windows") > 0, "critical").otherwise("warning").alias("severity"), "max_score",
+        F.timestamp_diff("MINUTE", "start", "end").alias("duration_minutes"),
+    )
+
+
 def _minutes(level: Column) -> Column:
     return F.when(level == "1m", 1).when(level == "15m", 15).when(level == "1h", 60).when(level == "1d", 1440)

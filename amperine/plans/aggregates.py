@@ -11,7 +11,7 @@ from amperine.functions.electrical import phase_features
 from amperine.functions.timestamps import local_date, local_day_bounds, parse_localtime
 from amperine.operators.injection import inject_anomaly
 from amperine.operators.features import model_input
-from amperine.operators.quality import quality_monitor
+from amperine.operators.quality import quality_gaps, quality_lateness, quality_monitor
 from amperine.operators.windows import MEANS, aggregate_readings, avg_current, base_time, rollup
 from amperine.plans import sql as S
 from amperine.plans.derived import aggregate, events, readings, rounded
@@ -115,6 +115,17 @@ def q_quality_monitor(spark, sf_dir):
     return rounded(quality_monitor(readings(spark, sf_dir), "1h"))
 
 
+def _gaps(level):
+    return lambda spark, sf_dir: quality_gaps(readings(spark, sf_dir), level)
+
+
+def q_quality_lateness(spark, sf_dir):
+    """Arrival times from a minute before the event to over an hour behind it."""
+    shift = F.make_interval(secs=F.col("activePower") % 4000 - 60)
+    arrived = readings(spark, sf_dir).withColumn("ingest_ts", F.col("localtime_datetime") + shift)
+    return rounded(quality_lateness(arrived))
+
+
 QUERIES = {
     "sample_readings": q_sample_readings,
     "next_chunk": q_next_chunk,
@@ -137,6 +148,9 @@ QUERIES = {
     "inject_anomaly": q_inject_anomaly,
     "base_time": q_base_time,
     "quality_monitor": q_quality_monitor,
+    "quality_gaps": _gaps("1m"),
+    "quality_gaps_15m": _gaps("15m"),
+    "quality_lateness": q_quality_lateness,
 }
 
 
@@ -149,6 +163,22 @@ def _agg_sql(level, extra=(), power=False, shift=""):
     )
 
 
+def _gaps_sql(level, expected):
+    width = S.WIDTHS[level]
+    return S.with_(
+        S.READINGS,
+        f"seen AS (SELECT DISTINCT module, {S.window_end('localtime_datetime', width)} AS window_end_time FROM readings)",
+        f"grid AS (SELECT module, unnest(generate_series(min(window_end_time), max(window_end_time), INTERVAL '{width}')) AS window_end_time "
+        "FROM seen GROUP BY module)",
+        f"absent AS (SELECT *, INTERVAL '{width}' AS step FROM (SELECT * FROM grid EXCEPT SELECT * FROM seen))",
+        S.runs("marked", "absent", "module"),
+    ) + (
+        f"SELECT module AS equipment_id, min(window_end_time) - INTERVAL '{width}' AS gap_start, max(window_end_time) AS gap_end, "
+        f"count(*) AS silent_windows, count(*) * {expected} AS missing_events, "
+        f"date_diff('minute', min(window_end_time) - INTERVAL '{width}', max(window_end_time)) AS duration_minutes FROM marked GROUP BY module, run"
+    )
+
+
 _READING_COLUMNS = ", ".join(
     ['"timestamp"', '"localtime"', "module", "localtime_datetime", *[f'"{m}"' for m in S.MEASURES]]
 )
@@ -224,4 +254,13 @@ SQL = {
     + S.r6("completeness", "least((event_count - duplicate_count) / 720.0, 1.0)") + ", "
     "false AS missing_id, " + S.r6("count_ratio", "event_count / CAST(prev AS DOUBLE)") + ", "
     "coalesce(abs(event_count / CAST(prev AS DOUBLE) - 1) > 0.5, false) AS is_jump FROM lagged",
+    "quality_gaps": _gaps_sql("1m", 12),
+    "quality_gaps_15m": _gaps_sql("15m", 180),
+    "quality_lateness": S.with_(
+        S.READINGS,
+        "late AS (SELECT module, CAST(\"activePower\" AS BIGINT) % 4000 - 60 AS delay FROM readings)",
+        "bounds AS (SELECT * FROM (VALUES (CAST(NULL AS BIGINT), 0), (0, 1), (1, 5), (5, 60), (60, 300), (300, 900), (900, 3600), (3600, NULL)) v(delay_from, delay_to))",
+    ) + "SELECT module AS equipment_id, CAST(delay_from AS BIGINT) AS delay_from, CAST(delay_to AS BIGINT) AS delay_to, count(*) AS event_count, "
+    + S.r6("max_delay_seconds", "CAST(max(delay) AS DOUBLE)") + ", " + S.r6("mean_delay_seconds", "avg(delay)")
+    + " FROM late JOIN bounds ON (delay_from IS NULL OR delay >= delay_from) AND (delay_to IS NULL OR delay < delay_to) GROUP BY 1, 2, 3",
 }

@@ -95,6 +95,10 @@ def q_anomaly_events(spark, sf_dir):
     return rounded(rows.drop("alert_id", "message", "last_error_message", "created_at", "notified_at"))
 
 
+def q_anomaly_episodes(spark, sf_dir):
+    return rounded(A.anomaly_episodes(settle(predictions(spark, sf_dir))))
+
+
 def q_send_log_merge(spark, sf_dir):
     return merge_by_key(send_log(spark, sf_dir, "F"), send_log(spark, sf_dir, "O"), ["report_date"])
 
@@ -149,6 +153,7 @@ QUERIES = {
     "dispatch_outbox": lambda spark, sf_dir: _dispatch("outbox")(spark, sf_dir).drop("window_end_time"),
     "dispatch_counts": _dispatch("counts"),
     "anomaly_events": q_anomaly_events,
+    "anomaly_episodes": q_anomaly_episodes,
     "send_log_merge": q_send_log_merge,
     "ready_dates": q_ready_dates,
     "change_feed": q_change_feed,
@@ -227,6 +232,16 @@ SQL = {
     f"{S.r6('final_score', 'c.final_anomaly_score')}, CASE c.aggregation_level WHEN '1m' THEN 1 WHEN '15m' THEN 15 WHEN '1h' THEN 60 ELSE 1440 END AS duration_minutes, "
     "c.aggregation_level AS detection_window, 'OPEN' AS status, 'PENDING' AS notification_status, 0 AS retry_count "
     "FROM metered c WHERE severity IS NOT NULL",
+    "anomaly_episodes": S.with_(
+        *_SCORED,
+        f"alarming AS (SELECT equipment_id, aggregation_level, window_end_time, final_anomaly_level, final_anomaly_score, {S.STEP} AS step "
+        f"FROM predictions WHERE {_ALERTING})",
+        S.runs("marked", "alarming", "equipment_id, aggregation_level"),
+    ) + "SELECT equipment_id, aggregation_level, min(window_end_time) - any_value(step) AS episode_start, max(window_end_time) AS episode_end, "
+    "count(*) AS windows, count(*) FILTER (final_anomaly_level = 'critical') AS critical_windows, "
+    "CASE WHEN count(*) FILTER (final_anomaly_level = 'critical') > 0 THEN 'critical' ELSE 'warning' END AS severity, "
+    f"{S.r6('max_score', 'max(final_anomaly_score)')}, date_diff('minute', min(window_end_time) - any_value(step), max(window_end_time)) AS duration_minutes "
+    "FROM marked GROUP BY equipment_id, aggregation_level, run",
     "send_log_merge": S.with_(S.send_log("old", "F"), S.send_log("new", "O"))
     + "SELECT report_date, CASE WHEN n.sent_at IS NOT NULL THEN n.sent_at ELSE o.sent_at END AS sent_at, coalesce(n.status, o.status) AS status, "
     "coalesce(n.message, o.message) AS message FROM old o FULL JOIN new n USING (report_date)",

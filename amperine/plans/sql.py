@@ -85,6 +85,20 @@ def aggregate(name: str, width: str, source: str = "readings") -> str:
   FROM {source} GROUP BY 1, 2)"""
 
 
+STEP = (
+    "CASE aggregation_level WHEN '1m' THEN INTERVAL '1 minute' WHEN '15m' THEN INTERVAL '15 minutes' "
+    "WHEN '1h' THEN INTERVAL '1 hour' ELSE INTERVAL '1 day' END"
+)
+
+
+def runs(name: str, source: str, keys: str) -> str:
+    """CTE that numbers runs of windows, `step` apart, in the column run."""
+    by = f"(PARTITION BY {keys} ORDER BY window_end_time)"
+    return f"""{name}_breaks AS (
+  SELECT *, CASE WHEN lag(window_end_time) OVER {by} + step = window_end_time THEN 0 ELSE 1 END AS fresh FROM {source}),
+{name} AS (SELECT *, sum(fresh) OVER {by} AS run FROM {name}_breaks)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 

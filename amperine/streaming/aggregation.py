@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from amperine.operators.features import model_input
 from amperine.operators.windows import aggregate_readings
 from amperine.streaming.ingest import without_duplicates
-from amperine.streaming.sinks import start, write_batch
+from amperine.streaming.sinks import publish, start, write_batch
 
 
 def start_aggregations(
@@ -17,9 +17,9 @@ def start_aggregations(
 ) -> list[StreamingQuery]:
     """Two queries for three outputs under `root`: `1m`, `15m` and `model_input`.
 
-    The 15-minute batch is computed once and written to both of its tables. Rows later
-    than `delay` behind the newest event are dropped; re-aggregate the stored readings of
-    an interval to correct it.
+    The 15-minute batch is computed once, written to both of its tables and published with
+    one mark (`sinks.read_published`). Rows later than `delay` behind the newest event are
+    dropped; `streaming.late` keeps them and corrects their windows.
     """
     if dedup_keys:
         readings = without_duplicates(readings, dedup_keys, delay, time_col)
@@ -29,9 +29,10 @@ def start_aggregations(
 
     def write_quarter(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        write_batch(batch, f"{root}/15m", batch_id)
-        write_batch(model_input(batch), f"{root}/model_input", batch_id)
-        batch.unpersist()
+        try:
+            publish({"15m": batch, "model_input": model_input(batch)}, root, batch_id)
+        finally:
+            batch.unpersist()
 
     return [
         start(minute, lambda df, i: write_batch(df, f"{root}/1m", i), f"{root}/_checkpoint/1m", every=every),
