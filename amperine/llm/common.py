@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from amperine.session import scratch_path
 
 # A word is a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+_BLANK = re.compile(r"\s")
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +63,22 @@ def spread_lookup(
     return served.unionByName(others.join(light, key, "left").select(served.columns))
 
 
+def pieces(text: str, chars: int) -> Iterator[str]:
+    """A text in parts of at most `chars` characters that end at blanks.
+
+    A word longer than that is a part of its own with what stands before it.
+    """
+    at = 0
+    while len(text) - at > chars:
+        stop = max(text.rfind(blank, at + 1, at + chars) for blank in " \n\t\r")
+        if stop < 0:
+            found = _BLANK.search(text, at + chars)
+            stop = found.start() if found else len(text)
+        yield text[at:stop]
+        at = stop
+    yield text[at:]
+
+
 def by_text(
     texts: list[str | None], count: Callable[[list[str]], np.ndarray],
     chars: int = 1 << 20, most: int = 256,
@@ -68,7 +86,8 @@ def by_text(
     """count(texts), one row per text, for runs of a batch's texts in order.
 
     A run has at most `most` texts and about `chars` characters, so memory is bounded. A
-    longer text is a run of its own, the sum of the counts of its pieces.
+    longer text is a run of its own, the sum of the counts of its pieces, which are cut at
+    blanks, so no word is cut; a count of neighbours misses those across a cut.
     """
     run: list[str] = []
     held = 0
@@ -78,7 +97,7 @@ def by_text(
             yield count(run)
             run, held = [], 0
         if len(value) > chars:
-            yield sum(count([value[at : at + chars]]) for at in range(0, len(value), chars))
+            yield sum(count([piece]) for piece in pieces(value, chars))
         else:
             run.append(value)
             held += len(value)

@@ -91,7 +91,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
     got = sorted(
         ((r.lang, bytes(r.features)) for r in sample.mapInArrow(featurise, "lang string, features binary").collect()),
-        key=lambda r: r[1],
+        key=lambda r: (r[1], r[0]),
     )
     languages = sorted({name for name, _ in got})
     features = np.frombuffer(b"".join(f for _, f in got), np.float16).reshape(-1, BUCKETS)

@@ -16,12 +16,22 @@ _PRIME = 0x9E3779B97F4A7C15
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Kind, lower case and whether it is upper case, for code points of the first plane."""
     chars = [chr(i) for i in range(0x10000)]
-    kind = np.array([LETTER if c.isalpha() else DIGIT if c.isdigit() else BLANK if c.isspace() else SIGN
-                     for c in chars], np.uint8)
+    kind = np.array([_kind(c) for c in chars], np.uint8)
     lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in chars], np.uint32)
     return kind, lower, np.array([c.isupper() for c in chars])
 
 
+def _kind(c: str) -> int:
+    return LETTER if c.isalpha() else DIGIT if c.isdigit() else BLANK if c.isspace() else SIGN
+
+
+@lru_cache(1 << 16)
+def _far(code: int) -> tuple[int, int, bool]:
+    """Kind, lower case and case of a code point beyond the first plane."""
+    c = chr(code)
+    return _kind(c), ord(c.lower()) if len(c.lower()) == 1 else code, c.isupper()
+
+
 @lru_cache(1)
 def _powers() -> np.ndarray:
     powers = [1]
@@ -33,15 +43,22 @@ def _powers() -> np.ndarray:
 def spell(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Kind, lower-case code point and upper-case mark of every character, and its text.
 
-    Every text is preceded by one blank. Characters beyond the first plane count as letters.
+    Every text is preceded by one blank.
     """
     joined = "\n" + "\n".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     kind, lower, upper = _tables()
     low = np.minimum(codes, 0xFFFF)
-    kinds = np.where(codes > 0xFFFF, LETTER, kind[low]).astype(np.uint8)
-    return kinds, np.where(codes > 0xFFFF, codes, lower[low]), upper[low], np.repeat(np.arange(len(texts)), lengths)
+    kinds, lowered, raised = kind[low], lower[low], upper[low]
+    beyond = np.flatnonzero(codes > 0xFFFF)
+    if len(beyond):
+        seen, which = np.unique(codes[beyond], return_inverse=True)
+        far = [_far(int(c)) for c in seen]
+        kinds[beyond] = np.array([f[0] for f in far], np.uint8)[which]
+        lowered[beyond] = np.array([f[1] for f in far], np.uint32)[which]
+        raised[beyond] = np.array([f[2] for f in far])[which]
+    return kinds, lowered, raised, np.repeat(np.arange(len(texts)), lengths)
 
 
 class Tokens(NamedTuple):

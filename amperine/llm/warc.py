@@ -8,7 +8,11 @@ second copy of its records in it.
 
 The reader cuts the files into byte ranges. A task looks for gzip magic from the start of
 its range, decodes the header of each candidate member to see whether it is a WARC record,
-and reads all records that start inside its range, the last one beyond its end.
+and reads all records that start inside its range, the last one beyond its end. Records of
+every type are returned, also those of other writers: `page` is then the record's own id,
+the digest is null where the record has none, the payload of a record without HTTP headers is
+its block, and chunked transfer is undone. A payload that does not have the digest its record
+states stops the job.
 
 Files are opened by Arrow's file systems (file, hdfs, s3, gs) in the folder named by
 spark.checkpoint.dir.
@@ -210,7 +214,8 @@ def parse(content: bytes) -> dict[str, str | bytes]:
     head, _, rest = content.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
     out: dict[str, str | bytes] = {n.strip().lower(): v.strip() for n, _, v in (line.partition(":") for line in lines[1:])}
-    length = int(out["content-length"])
+    stated = str(out.get("content-length", ""))
+    length = int(stated) if stated.isdigit() else len(rest.removesuffix(b"\r\n\r\n"))
     if len(rest) < length:
         raise ValueError("a record is shorter than its header says")
     out[""] = rest[:length]
@@ -244,15 +249,50 @@ def read(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES,
     return ranges.repartition(min(tasks, 100_000)).mapInArrow(records, schema)
 
 
+def _fields(http: bytes) -> dict[str, str]:
+    lines = (line.partition(b":") for line in http.split(b"\r\n")[1:])
+    return {name.strip().lower().decode("latin-1"): value.strip().decode("latin-1") for name, _, value in lines}
+
+
+def unchunked(body: bytes) -> bytes:
+    """The content of a chunked HTTP body; a body that is not well formed stays as it is."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        digits = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        try:
+            size = int(digits, 16)
+        except ValueError:
+            return body
+        if size == 0:
+            return b"".join(parts)
+        if end + 2 + size > len(body):
+            return body
+        parts.append(body[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
 def _row(got: dict, path: str, at: int, with_payload: bool) -> tuple:
-    http, _, payload = got[""].partition(b"\r\n\r\n")
-    digest = got["warc-payload-digest"].removeprefix("sha1:")
-    revisit = got["warc-type"] == "revisit"
-    size = int(dict(line.split(b": ", 1) for line in http.split(b"\r\n")[1:])[b"Content-Length"])
-    if not revisit and (payload_digest(payload) != digest or len(payload) != size):
-        raise ValueError(f"{path} at {at}: the payload is not the one that was written")
-    refers = _page(got["warc-refers-to"]) if revisit else None
-    row = (_page(got["warc-record-id"]), got["warc-type"], got.get("warc-target-uri"), size, digest, refers, path, at)
+    kind, block = got.get("warc-type"), got[""]
+    http, body, fields = b"", block, {}
+    if str(got.get("content-type", "")).startswith("application/http"):
+        http, _, body = block.partition(b"\r\n\r\n")
+        fields = _fields(http)
+    payload = unchunked(body) if fields.get("transfer-encoding", "").lower() == "chunked" else body
+    revisit = kind == "revisit"
+    stated = fields.get("content-length", "")
+    # a revisit record has the headers of its page and no payload
+    size = len(payload) if not revisit else int(stated) if stated.isdigit() else None
+    digest = got.get("warc-payload-digest")
+    if digest is not None:
+        algorithm, _, value = str(digest).rpartition(":")
+        wrong = algorithm == "sha1" and len(value) == 32 and value not in (payload_digest(payload), payload_digest(body))
+        if not revisit and kind != "request" and wrong:
+            raise ValueError(f"{path} at {at}: the payload is not the one that was written")
+        digest = value
+    refers = got.get("warc-refers-to")
+    row = (_page(str(got.get("warc-record-id", ""))), kind, got.get("warc-target-uri"), size, digest,
+           _page(refers) if refers is not None else None, path, at)
     return (*row, None if revisit else payload) if with_payload else row
 
 
