@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from amperine import constants as K
 from amperine.operators import combine
 from amperine.operators.features import derive_features, feature_vector, one_hot, validate_rows
-from amperine.operators.iforest import fit_iforest, fit_scaler, forest_config, score_iforest
+from amperine.operators.iforest import (
+    Forest, average_path, calibrate, fit_iforest, fit_scaler, forest_config, isolation_by_joins, score_iforest,
+)
 from amperine.operators.rules import rule_score
 from amperine.operators.scoring import score
 from amperine.operators.thresholds import fallback_thresholds, fit_thresholds, with_thresholds
@@ -168,6 +170,50 @@ def q_iforest_properties(spark, sf_dir):
         ((F.col("trees") == forest.trees) & (F.col("largest") <= 2 * forest.psi - 1)).alias("nodes_fit"), "p99"))
 
 
+# A small stored forest for comparison with SQL. The splits lie off the values of the data.
+_FIXED_TREES, _FIXED_PSI = 6, 16
+_FIXED_SPLITS = {0: 14.1371, 2: 5.03217, 4: 3.07131, 5: 30.14371, 6: 92.23713, 10: 2.53117, 12: 11.53713}
+
+
+def fixed_nodes():
+    """Rows of a node table: three levels of splits, odd trees with a leaf on the second."""
+    rows = []
+    for i, level in enumerate(K.LEVELS):
+        for tree in range(_FIXED_TREES):
+            for node in range(15):
+                depth = (node + 1).bit_length() - 1
+                leaf = depth == 3 or tree % 2 == 1 and node == 2
+                if tree % 2 == 1 and node in (5, 6, 11, 12, 13, 14):
+                    continue
+                feature = list(_FIXED_SPLITS)[(tree + node) % len(_FIXED_SPLITS)]
+                split = _FIXED_SPLITS[feature] * (1 + 0.11 * (node % 3) + 0.07 * i)
+                path = depth + float(average_path(1 + (tree + node) % 5))
+                rows.append((level, tree, node, -1 if leaf else feature, 0.0 if leaf else split, path if leaf else 0.0))
+    return rows
+
+
+def fixed_forest(spark):
+    nodes = spark.createDataFrame(fixed_nodes(), "aggregation_level string, tree int, node int, feature int, split double, path double")
+    plain = spark.createDataFrame(
+        [(level, [0.0] * 28, [1.0] * 28) for level in K.LEVELS], "aggregation_level string, mean array<double>, scale array<double>")
+    return Forest(nodes, plain, plain, _FIXED_TREES, _FIXED_PSI)
+
+
+def _isolated(spark, sf_dir):
+    return settle(isolation_by_joins(forest_rows(spark, sf_dir), fixed_forest(spark), _ID))
+
+
+def q_iforest_fixed(spark, sf_dir):
+    """Decision values of all windows under a stored forest, offset and calibration fitted to them."""
+    scores = _isolated(spark, sf_dir)
+    rows = level_join(scores, calibrate(scores).select("aggregation_level", "offset"))
+    return rounded(rows.select(*_ID, F.col("_s").alias("isolation"), (-F.col("_s") - F.col("offset")).alias("iforest_score_raw")))
+
+
+def q_iforest_calibration(spark, sf_dir):
+    return rounded(calibrate(_isolated(spark, sf_dir)))
+
+
 def q_iforest(spark, sf_dir):
     rows = forest_rows(spark, sf_dir)
     forest = fit_iforest(rows, ["equipment_id", "window_end_time"])
@@ -239,6 +285,8 @@ QUERIES = {
     "score_rows_batch": q_score_rows_batch,
     "iforest_properties": q_iforest_properties,
     "iforest": q_iforest,
+    "iforest_fixed": q_iforest_fixed,
+    "iforest_calibration": q_iforest_calibration,
     "score_with_forest": q_score_with_forest,
     "decode_payloads": q_decode_payloads,
     "decode_payloads_levels": q_decode_payloads_levels,
@@ -276,7 +324,28 @@ def _select(names, source):
     return f"SELECT {', '.join(columns)} FROM {source}"
 
 
+_WALK = [
+    *S.scoring_rows(), S.DERIVED,
+    "vectors AS (SELECT equipment_id, window_end_time, aggregation_level, ["
+    + ", ".join(f"CAST(CAST({v} AS FLOAT) AS DOUBLE)" for v in _VECTOR) + "] AS f FROM derived)",
+    "nodes(aggregation_level, tree, node, feature, split, path) AS (VALUES "
+    + ", ".join(f"('{lv}', {t}, {n}, {f}, CAST({s!r} AS DOUBLE), CAST({p!r} AS DOUBLE))" for lv, t, n, f, s, p in fixed_nodes()) + ")",
+    "walk AS (SELECT v.*, tree, node, feature, split, path FROM vectors v JOIN nodes USING (aggregation_level) WHERE node = 0 "
+    "UNION ALL SELECT w.equipment_id, w.window_end_time, w.aggregation_level, w.f, c.tree, c.node, c.feature, c.split, c.path "
+    "FROM walk w JOIN nodes c ON c.aggregation_level = w.aggregation_level AND c.tree = w.tree "
+    "AND c.node = 2 * w.node + 1 + CAST(w.f[w.feature + 1] > w.split AS INTEGER) WHERE w.feature >= 0)",
+    f"isolated AS (SELECT equipment_id, window_end_time, aggregation_level, pow(2.0, -avg(path) / CAST({float(average_path(_FIXED_PSI))!r} AS DOUBLE)) AS s "
+    "FROM walk WHERE feature < 0 GROUP BY ALL)",
+    'calibration AS (SELECT aggregation_level, -quantile_cont(s, 0.99) AS "offset", quantile_cont(s, 0.01) - quantile_cont(s, 0.99) AS p1, '
+    "CAST(0 AS DOUBLE) AS p99 FROM isolated GROUP BY 1)",
+]
+
 SQL = {
+    "iforest_fixed": S.with_(*_WALK).replace("WITH", "WITH RECURSIVE", 1)
+    + f"SELECT {_IDS}, {S.r6('isolation', 's')}, " + S.r6("iforest_score_raw", '-s - "offset"')
+    + " FROM isolated JOIN calibration USING (aggregation_level)",
+    "iforest_calibration": S.with_(*_WALK).replace("WITH", "WITH RECURSIVE", 1)
+    + f"SELECT aggregation_level, {S.r6('offset')}, {S.r6('p1')}, {S.r6('p99')} FROM calibration",
     "fit_thresholds": S.with_(*S.scoring_rows(), S.thresholds(1.5))
     + f"SELECT aggregation_level, feature, equipment_id, {', '.join(S.r6(c) for c in _LIMITS)}, direction FROM thresholds",
     "fallback_thresholds": S.with_(*S.scoring_rows(), S.thresholds(1.5), S.FALLBACK)

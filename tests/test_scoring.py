@@ -11,6 +11,7 @@ from amperine.functions.numeric import safe_double
 from amperine.operators import combine
 from amperine.operators.features import derive_features, feature_vector, validate_rows
 from amperine.operators.iforest import (
+    isolation_by_joins,
     Forest, average_path, fit_iforest, fit_scaler, forest_config, score_iforest,
 )
 from amperine.operators.rules import rule_score
@@ -314,3 +315,18 @@ def test_reason_sentences(spark):
     assert said(some) == K.REASON_RULE % ("13(3호기)", when, "a, b", 12.3, "watch")
     assert said(none) == K.REASON_NORMAL % ("13(3호기)", when, "watch")
     assert said(none.withColumn("iforest_anomaly", F.lit(1))) == K.REASON_FOREST % ("13(3호기)", when, "watch")
+
+
+def test_scoring_by_joins_equals_the_arrow_path(spark):
+    rows = history(spark, 600)
+    forest = fit_iforest(rows, ["equipment_id", "window_end_time"], trees=12, psi=64)
+    key = ["equipment_id", "window_end_time", "aggregation_level"]
+    scores = isolation_by_joins(rows, forest, key)
+    assert "Python" not in scores._jdf.queryExecution().executedPlan().toString()
+    arrow = {(r.equipment_id, r.window_end_time, r.aggregation_level): r.iforest_score_raw for r in score_iforest(rows, forest).collect()}
+    offset = {r.aggregation_level: r.offset for r in forest.calibration.collect()}
+    got = {tuple(r)[:3]: -r._s - offset[r.aggregation_level] for r in scores.collect()}
+    assert got.keys() == arrow.keys() and len(got) > 100 and all(abs(got[k] - arrow[k]) < 1e-12 for k in got)
+    other = rows.limit(1).withColumn("aggregation_level", F.lit("5m"))
+    with pytest.raises(Exception, match="no forest was fitted"):
+        isolation_by_joins(other, forest, key).collect()
