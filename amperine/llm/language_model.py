@@ -354,11 +354,12 @@ class Shard:
         pair, last, count = [], [], []
         for a, b, c, n in entries:
             seen = n > 0
-            pair.append(a[seen] * size + b[seen])
+            pair.append(a[seen].astype(np.int64) * size + b[seen])
             last.append(c[seen])
             count.append(n[seen].astype(np.int64))
         pairs, of_pair = np.unique(np.concatenate(pair), return_inverse=True)
         keys, of_key = np.unique(of_pair * size + np.concatenate(last), return_inverse=True)
+        del pair, last
         c3 = np.bincount(of_key, np.concatenate(count), len(keys))
         three_of, three = keys // size, keys % size
         c2 = np.bincount(three_of, c3, len(pairs))
@@ -402,6 +403,23 @@ class Shard:
         ]
 
 
+def _union(lists: Iterator[np.ndarray]) -> np.ndarray:
+    """Distinct values of sorted arrays, a few arrays at a time."""
+    whole = np.zeros(0, np.uint64)
+    held: list[np.ndarray] = []
+    for values in lists:
+        held.append(values)
+        if len(held) == 8:
+            whole, held = _distinct([whole, *held]), []
+    return _distinct([whole, *held])
+
+
+def _distinct(arrays: list[np.ndarray]) -> np.ndarray:
+    values = np.concatenate(arrays)
+    values.sort(kind="stable")  # runs that are sorted already are merged
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def _reply(own3: np.ndarray, rest3: np.ndarray, own2: np.ndarray, count: np.ndarray) -> bytes:
     """Answers of a payload: the distinct triples of codes, which of them each entry has, and the counts."""
     codes = own3.astype(np.int64) << 32 | rest3.astype(np.int64) << 16 | own2
@@ -436,9 +454,9 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
 
     def reply(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         payloads = [_parted(x.as_buffer()) for x in rows.column("payload")]
-        lists = [unpacked(p[0], "<u8", True) for p in payloads]
-        vocabulary = np.unique(np.concatenate(lists))
-        ids = [np.searchsorted(vocabulary, words) for words in lists]
+        vocabulary = _union(unpacked(p[0], "<u8", True) for p in payloads)
+        # 32 bits, and each list unpacked twice: a group's memory is what bounds its size
+        ids = [np.searchsorted(vocabulary, unpacked(p[0], "<u8", True)).astype(np.int32) for p in payloads]
         replies: list[list[bytes]] = [[] for _ in payloads]
         known = 0
         for k in range(GROUP):
@@ -450,6 +468,9 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
             known += shard.known
             for parts, (a, b, c, _) in zip(replies, entries):
                 parts.append(_reply(*shard.answer(a, b, c)))
+            del shard, entries
+        del ids
+        pa.default_memory_pool().release_unused()
         return pa.table({
             "block": pa.array([*rows.column("block").to_pylist(), None], pa.int64()),
             "group": pa.array([key[0].as_py()] * (len(rows) + 1), pa.int64()),
