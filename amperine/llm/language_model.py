@@ -47,7 +47,7 @@ from amperine.session import scratch_path, settle
 
 M2, M3 = 10_000.0, 16.0
 STEPS = 4096
-BLOCK = 1_500_000
+BLOCK = 1_000_000
 SHARD = 1 << 19
 GROUP = 16
 HEAVY = 256
@@ -482,12 +482,12 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
     return settle(sent.groupBy("group").applyInArrow(reply, "block long, group long, answer binary, known long"))
 
 
-def _scores(block: Block, replies: dict[int, list[np.ndarray]], total: int, known: int, m2: float) -> list[np.ndarray]:
+def _scores(block: Block, replies: dict[int, bytes], total: int, known: int, m2: float) -> list[np.ndarray]:
     """Tokens, known tokens, base and model log10 probability of each segment of a block."""
     size = len(block.a)
     own3, rest3, own2, count = (np.zeros(size, kind) for kind in ("<u2", "<u2", "<u2", "<u8"))
-    for group, parts in replies.items():
-        mine = np.concatenate(_members(block, group))
+    for group in list(replies):
+        parts, mine = _replied(replies.pop(group)), np.concatenate(_members(block, group))
         for whole, part in zip((own3, rest3, own2, count), parts):
             whole[mine] = part
     scored = np.flatnonzero(block.place < block.notes[block.segment, 2])
@@ -530,7 +530,7 @@ def score(
         keys = blocks_.column("keys").chunk(0)[0].values
         block, parts = Block(row, shards, apart), {}
         for reply in replies_.to_pylist():
-            parts[reply["group"]] = _replied(reply["answer"])
+            parts[reply["group"]] = reply["answer"]
         if set(parts) != set(np.unique(block.shard // GROUP).tolist()):
             raise ValueError(f"block {row['block']} has not all its answers")
         found = _scores(block, parts, total, known, m2)
