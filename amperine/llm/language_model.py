@@ -49,7 +49,7 @@ M2, M3 = 10_000.0, 16.0
 STEPS = 4096
 BLOCK = 1_000_000
 SHARD = 1 << 19
-GROUP = 16
+GROUP = 10
 HEAVY = 256
 CHARS = 1 << 20
 START, END, NIL = 1, 2, 3
