@@ -31,6 +31,7 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -54,11 +55,25 @@ HEAVY = 256
 CHARS = 1 << 20
 START, END, NIL = 1, 2, 3
 _LONG = 512
+_MMAP_THRESHOLD = -3  # M_MMAP_THRESHOLD of malloc.h
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 _BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 
 
+def _lean() -> None:
+    """Makes a Python worker give freed arrays back, whatever it ran before.
+
+    glibc otherwise raises the size from which an array has pages of its own to 32 MB, and
+    holes left by smaller arrays stay with the worker.
+    """
+    try:
+        ctypes.CDLL(None).mallopt(_MMAP_THRESHOLD, 1 << 20)
+    except (AttributeError, OSError):
+        pass  # another C library
+    pa.default_memory_pool().release_unused()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(29))
@@ -177,6 +192,7 @@ def blocks(docs: DataFrame, key: str, text: str, train: Column) -> str:
     ])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _lean()
         held: list = []
         size = 0
 
@@ -443,6 +459,7 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
     apart = set(heavy)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _lean()
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, shards, apart)
@@ -453,6 +470,7 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
                     ], ["block", "group", "payload"])
 
     def reply(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
+        _lean()
         payloads = [_parted(x.as_buffer()) for x in rows.column("payload")]
         vocabulary = _union(unpacked(p[0], "<u8", True) for p in payloads)
         # 32 bits, and each list unpacked twice: a group's memory is what bounds its size
@@ -526,6 +544,7 @@ def score(
     ])
 
     def add(blocks_: pa.Table, replies_: pa.Table) -> pa.Table:
+        _lean()
         row = blocks_.slice(0, 1).to_pylist()[0]
         keys = blocks_.column("keys").chunk(0)[0].values
         block, parts = Block(row, shards, apart), {}
