@@ -12,7 +12,9 @@ leaves to the lower level, as 16-bit codes of their logarithm (step 1 / STEPS).
 1. Texts become words as 64-bit hashes and are written in blocks of about BLOCK entries, an
    entry being three tokens in a row. Texts are whole: a long one goes on in the next block.
 2. Every block sends its distinct entries, with their training counts, to the shards of their
-   first word, GROUP of them at a time with one word list. A shard adds the counts up, builds
+   first word, GROUP of them at a time with one word list. A word of the COMMON most frequent
+   ones is sent as its number, any other as its hash, so the bytes of an entry hardly grow when
+   the entries of a block go to more shards. A shard adds the counts up, builds
    its trie in a memory-mapped file and answers the entries of every block from it. Each count, of any order, comes from the trie
    node of a context, so nothing else is gathered. The number of shards grows with the input,
    and all parts of the model with it; nothing is pruned.
@@ -52,6 +54,9 @@ BLOCK = 1_000_000
 SHARD = 1 << 19
 GROUP = 10
 HEAVY = 256
+# Words with a number of their own in what blocks send: at most COMMON, of those seen SEEN times in a block.
+COMMON = 1 << 17
+SEEN = 5
 CHARS = 1 << 20
 START, END, NIL = 1, 2, 3
 _LONG = 512
@@ -260,16 +265,25 @@ def _stream(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Block:
-    """A block's distinct entries in order, with counts, shards and the place of each in the text."""
+    """A block's distinct entries in order, with counts, shards and the place of each in the text.
 
-    def __init__(self, row: dict, shards: int, heavy: set):
-        self.notes, self.words, tokens = _stream(row)
+    Common words come first in its word list; `numbers` are their places in `common`.
+    """
+
+    def __init__(self, row: dict, shards: int, heavy: set, common: np.ndarray):
+        self.notes, words, tokens = _stream(row)
         at, segment, place = _entries(tokens, self.notes)
+        number = np.searchsorted(common, words)
+        known = np.append(common, np.uint64(0))[number] == words
+        order = np.concatenate([np.flatnonzero(known), np.flatnonzero(~known)])
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        self.words, self.numbers, tokens = words[order], number[known], rank[tokens]
         key = tokens[at] << 21
         key |= tokens[at + 1]
         key <<= 21
         key |= tokens[at + 2]
-        del tokens, at
+        del tokens, at, words, number, known, rank
         distinct, inverse = np.unique(key, return_inverse=True)
         self.inverse = inverse.astype(np.int32)
         del key, inverse
@@ -281,6 +295,14 @@ class Block:
         del distinct
         self.shard = self._shard(shards, heavy)
 
+    def groups(self) -> Iterator[tuple[int, np.ndarray]]:
+        """The groups of shards it has entries for, with their places, shard by shard."""
+        order = np.argsort(self.shard, kind="stable").astype(np.int32)
+        group = self.shard[order] // GROUP
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        for start, stop in zip(starts, [*starts[1:], len(order)]):
+            yield int(group[start]), order[start:stop]
+
     def _shard(self, shards: int, heavy: set) -> np.ndarray:
         h = mixed(self.words[self.a] * np.uint64(0x9E3779B97F4A7C15))
         words = self.words.astype(np.int64)
@@ -336,25 +358,52 @@ def _parted(data: bytes) -> list[memoryview]:
     return [data[start:end] for start, end in zip([8 * (n + 1), *ends[:-1]], ends)]
 
 
-def _members(block: Block, group: int) -> list[np.ndarray]:
-    """Places of a block's entries in the shards of a group."""
-    near = np.flatnonzero(block.shard // GROUP == group)
-    return [near[block.shard[near] == group * GROUP + k] for k in range(GROUP)]
+def common_words(table: DataFrame) -> np.ndarray:
+    """Hashes of the most frequent words, COMMON at most, in rising order.
+
+    They only shorten what is sent: any list gives the same scores.
+    """
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _lean()
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = unpacked(row["words"], "<u8", True)
+                n = np.bincount(unpacked(row["tokens"], "<u4"), minlength=len(words))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(words[n >= SEEN].astype(np.int64)), pa.array(n[n >= SEEN].astype(np.int64))
+                ], ["word", "n"])
+
+    sums = settle(table.select("words", "tokens").mapInArrow(often, "word long, n long").groupBy("word").agg(
+        F.floor(8 * F.log2(F.sum("n"))).alias("band")
+    ))
+    least, held = None, 0
+    for band, n in sorted((tuple(r) for r in sums.groupBy("band").count().collect()), reverse=True):
+        held += n
+        if held > COMMON:
+            break
+        least = band
+    if least is None:
+        return np.zeros(0, np.uint64)
+    words = sums.filter(F.col("band") >= least).select("word").toArrow().column(0).to_numpy()
+    return np.sort(words.astype(np.uint64))
+
 
+def _payload(block: Block, group: int, places: np.ndarray, table: np.ndarray) -> bytes:
+    """Distinct entries of a block that belong to a group of shards, with their own word list.
 
-def _payload(block: Block, group: int) -> bytes:
-    """Distinct entries of a block that belong to a group of shards, with their own word list."""
-    members = _members(block, group)
-    every = np.concatenate(members)
-    used = np.zeros(len(block.words), bool)
-    for ids in (block.a, block.b, block.c):
-        used[ids[every]] = True
-    new = np.cumsum(used) - 1
-    pieces = [packed(block.words[used], "<u8", True)]
-    for own in members:
-        pieces += [packed(new[block.a[own]], "<u4", True), packed(new[block.b[own]], "<u4"),
-                   packed(new[block.c[own]], "<u4"), packed(block.counts[own], "<u8")]
-    return _joined(pieces)
+    table: room for a number per word of the block.
+    """
+    columns = [x[places] for x in (block.a, block.b, block.c)]
+    used = np.unique(np.concatenate(columns))
+    table[used] = np.arange(len(used), dtype=np.int32)
+    split = int(np.searchsorted(used, len(block.numbers)))
+    sizes = np.bincount(block.shard[places] - group * GROUP, minlength=GROUP)
+    return _joined([
+        packed(block.numbers[used[:split]], "<u4", True), packed(block.words[used[split:]], "<u8", True), packed(sizes, "<i8"),
+        packed(table[columns[0]], "<u4", True), *(packed(table[x], "<u4") for x in columns[1:]),
+        packed(block.counts[places], "<u4"),
+    ])
 
 
 class Shard:
@@ -445,16 +494,12 @@ def _reply(own3: np.ndarray, rest3: np.ndarray, own2: np.ndarray, count: np.ndar
 
 def _replied(data: bytes) -> list[np.ndarray]:
     """Own share of a 3-gram, rest of its context, own share of its first two words, count of the first."""
-    codes, counts = [], []
-    for part in _parted(data):
-        triples, which, count = (unpacked(p, *k) for p, k in zip(_parted(part), (("<u8", True), ("<u4",), ("<u8",))))
-        codes.append(triples[which])
-        counts.append(count)
-    whole = np.concatenate(codes)
-    return [(whole >> np.uint64(k)).astype(np.uint16) for k in (32, 16, 0)] + [np.concatenate(counts)]
+    triples, which, count = (unpacked(p, *k) for p, k in zip(_parted(data), (("<u8", True), ("<u4",), ("<u8",))))
+    whole = triples[which]
+    return [(whole >> np.uint64(k)).astype(np.uint16) for k in (32, 16, 0)] + [count]
 
 
-def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) -> DataFrame:
+def answers(table: DataFrame, shards: int, heavy: dict, common: np.ndarray, m2: float, m3: float) -> DataFrame:
     """Written block, group, answer and known (distinct words, on rows without a block)."""
     apart = set(heavy)
 
@@ -462,37 +507,46 @@ def answers(table: DataFrame, shards: int, heavy: dict, m2: float, m3: float) ->
         _lean()
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row, shards, apart)
-                for group in np.unique(block.shard // GROUP):
+                block = Block(row, shards, apart, common)
+                numbers = np.empty(len(block.words), np.int32)
+                for group, places in block.groups():
                     yield pa.RecordBatch.from_arrays([
                         pa.array([row["block"]], pa.int64()), pa.array([group], pa.int64()),
-                        pa.array([_payload(block, group)], pa.binary()),
+                        pa.array([_payload(block, group, places, numbers)], pa.binary()),
                     ], ["block", "group", "payload"])
 
     def reply(key: tuple[pa.Scalar], rows: pa.Table) -> pa.Table:
         _lean()
         payloads = [_parted(x.as_buffer()) for x in rows.column("payload")]
-        vocabulary = _union(unpacked(p[0], "<u8", True) for p in payloads)
-        # 32 bits, and each list unpacked twice: a group's memory is what bounds its size
-        ids = [np.searchsorted(vocabulary, unpacked(p[0], "<u8", True)).astype(np.int32) for p in payloads]
-        replies: list[list[bytes]] = [[] for _ in payloads]
+
+        def words(payload: list[memoryview]) -> np.ndarray:
+            return np.concatenate([common[unpacked(payload[0], "<u4", True)], unpacked(payload[1], "<u8", True)])
+
+        vocabulary = _union(words(p) for p in payloads)
+        # 32 bits, and the word lists unpacked twice: a group's memory is what bounds its size
+        held, bounds, results = [], [], []
+        for p in payloads:
+            ids = np.searchsorted(vocabulary, words(p)).astype(np.int32)
+            held.append([*(ids[unpacked(x, "<u4", i == 0)] for i, x in enumerate(p[3:6])), unpacked(p[6], "<u4")])
+            bounds.append(np.concatenate([[0], np.cumsum(unpacked(p[2], "<i8"))]))
+            results.append([np.empty(bounds[-1][-1], kind) for kind in ("<u2", "<u2", "<u2", "<u8")])
         known = 0
         for k in range(GROUP):
-            entries = []
-            for own, p in zip(ids, payloads):
-                a, b, c = (own[unpacked(x, "<u4", i == 0)] for i, x in enumerate(p[1 + 4 * k : 4 + 4 * k]))
-                entries.append([a, b, c, unpacked(p[4 + 4 * k], "<u8")])
-            shard = Shard(entries, vocabulary, heavy, m2, m3)
+            own = [slice(b[k], b[k + 1]) for b in bounds]
+            shard = Shard([[x[at] for x in columns] for columns, at in zip(held, own)], vocabulary, heavy, m2, m3)
             known += shard.known
-            for parts, (a, b, c, _) in zip(replies, entries):
-                parts.append(_reply(*shard.answer(a, b, c)))
-            del shard, entries
-        del ids
-        pa.default_memory_pool().release_unused()
+            for columns, at, result in zip(held, own, results):
+                for whole, part in zip(result, shard.answer(*(x[at] for x in columns[:3]))):
+                    whole[at] = part
+            del shard
+        del held
+        replies = []
+        while results:
+            replies.append(_reply(*results.pop(0)))
         return pa.table({
             "block": pa.array([*rows.column("block").to_pylist(), None], pa.int64()),
             "group": pa.array([key[0].as_py()] * (len(rows) + 1), pa.int64()),
-            "answer": pa.array([*map(_joined, replies), None], pa.binary()),
+            "answer": pa.array([*replies, None], pa.binary()),
             "known": pa.array([*[None] * len(rows), known], pa.int64()),
         })
 
@@ -504,10 +558,11 @@ def _scores(block: Block, replies: dict[int, bytes], total: int, known: int, m2:
     """Tokens, known tokens, base and model log10 probability of each segment of a block."""
     size = len(block.a)
     own3, rest3, own2, count = (np.zeros(size, kind) for kind in ("<u2", "<u2", "<u2", "<u8"))
-    for group in list(replies):
-        parts, mine = _replied(replies.pop(group)), np.concatenate(_members(block, group))
-        for whole, part in zip((own3, rest3, own2, count), parts):
-            whole[mine] = part
+    for group, places in block.groups():
+        if group not in replies:
+            raise ValueError(f"no answer of group {group} for a block")
+        for whole, part in zip((own3, rest3, own2, count), _replied(replies.pop(group))):
+            whole[places] = part
     scored = np.flatnonzero(block.place < block.notes[block.segment, 2])
     now, after, last = block.inverse[scored], block.inverse[scored + 1], block.inverse[scored + 2]
     c = count[last].astype(float)
@@ -536,7 +591,8 @@ def score(
     shards = max(1, -(-entries // SHARD))
     heavy = heavy_contexts(table, entries)
     apart = set(heavy)
-    replies = answers(table, shards, heavy, m2, m3)
+    common = common_words(table)
+    replies = answers(table, shards, heavy, common, m2, m3)
     known = (replies.agg(F.sum("known")).first()[0] or 0) + sum(y == -1 and x not in (START, NIL) and n > 0 for (x, y), n in heavy.items())
     schema = T.StructType([
         T.StructField("row", T.LongType()), T.StructField(key, kind), T.StructField("n_tokens", T.LongType()),
@@ -547,11 +603,9 @@ def score(
         _lean()
         row = blocks_.slice(0, 1).to_pylist()[0]
         keys = blocks_.column("keys").chunk(0)[0].values
-        block, parts = Block(row, shards, apart), {}
+        block, parts = Block(row, shards, apart, common), {}
         for reply in replies_.to_pylist():
             parts[reply["group"]] = reply["answer"]
-        if set(parts) != set(np.unique(block.shard // GROUP).tolist()):
-            raise ValueError(f"block {row['block']} has not all its answers")
         found = _scores(block, parts, total, known, m2)
         return pa.table([pa.array(row["rows"], pa.int64()), keys, *[pa.array(x) for x in found]], names=schema.names)
 

@@ -165,8 +165,9 @@ def texts():
     return rows
 
 
-@pytest.mark.parametrize("block, shard", [(1 << 20, 1 << 22), (700, 300)])
-def test_scores_equal_plain_counting(spark, monkeypatch, block, shard):
+@pytest.mark.parametrize("block, shard, common", [(1 << 20, 1 << 22, 1 << 17), (700, 300, 30), (5000, 300, 0)])
+def test_scores_equal_plain_counting(spark, monkeypatch, block, shard, common):
+    monkeypatch.setattr(language_model, "COMMON", common)
     monkeypatch.setattr(language_model, "BLOCK", block)
     monkeypatch.setattr(language_model, "SHARD", shard)
     rows = texts()
