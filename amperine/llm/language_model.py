@@ -53,6 +53,7 @@ STEPS = 4096
 BLOCK = 1_000_000
 SHARD = 1 << 19
 GROUP = 10
+LOT = 1 << 17
 HEAVY = 256
 # Words with a number of their own in what blocks send: at most COMMON, of those seen SEEN times in a block.
 COMMON = 1 << 17
@@ -535,10 +536,15 @@ def answers(table: DataFrame, shards: int, heavy: dict, common: np.ndarray, m2:
             own = [slice(b[k], b[k + 1]) for b in bounds]
             shard = Shard([[x[at] for x in columns] for columns, at in zip(held, own)], vocabulary, heavy, m2, m3)
             known += shard.known
-            for columns, at, result in zip(held, own, results):
-                for whole, part in zip(result, shard.answer(*(x[at] for x in columns[:3]))):
-                    whole[at] = part
-            del shard
+            # entries of many blocks are looked up together, LOT or a block's at a time
+            ends = np.cumsum([at.stop - at.start for at in own])
+            for lot in np.split(np.arange(len(own)), np.flatnonzero(np.diff(ends // LOT)) + 1):
+                found = shard.answer(*(np.concatenate([held[i][x][own[i]] for i in lot]) for x in range(3)))
+                cuts = ends[lot[:-1]] - (ends[lot[0]] - (own[lot[0]].stop - own[lot[0]].start))
+                for x, values in enumerate(found):
+                    for i, part in zip(lot, np.split(values, cuts)):
+                        results[i][x][own[i]] = part
+            del shard, found
         del held
         replies = []
         while results:
