@@ -2,9 +2,8 @@
 
 Documents are tokenised once; only the lengths of their pieces travel. Pieces are dealt to
 shards of about `shard_rows` rows, whose number grows with the input, and every shard is
-packed by branch and bound: around the largest piece left, the undominated fillings are
-enumerated, branches are cut by the waste they would add, and best fit decreasing is the
-first incumbent. A shard loses at most its last sequence against a packing over all rows.
+packed by bin completion (see `completion`) from a best-fit incumbent. The search ends at the
+lower bound or after a number of steps that grows with the gap to it, so a shard may keep a gap.
 
 Defined results: a null or empty text is one piece holding the end token; a null key stays
 null; repeated rows are packed as often as they occur; an empty table packs to no rows;
@@ -15,7 +14,6 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from zlib import crc32
@@ -26,15 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from amperine.llm.completion import bin_completion
 from amperine.session import settle
 
 CAPACITY = 4096
 END_ID = 1
 SHARD_ROWS = 16_384
-# Branches looked at around one largest piece, and steps per sequence of a shard.
-WIDTH = 6
-SCAN = 48
-STEPS_PER_SEQUENCE = 2
 # Words whose ids a Python worker remembers; about 200 bytes each.
 CACHE_WORDS = 1_000_000
 
@@ -196,134 +191,3 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
             bins[row], offsets[row] = number, at
             at += size
     return bins, offsets
-
-
-def best_fit(counts: dict[int, int], capacity: int) -> list[list[int]]:
-    """Best fit decreasing: each item goes to the fullest bin that has room for it."""
-    rooms: list[tuple[int, int]] = []
-    bins: list[list[int]] = []
-    for size in sorted(counts, reverse=True):
-        for _ in range(counts[size]):
-            at = bisect_left(rooms, (size, -1))
-            if at == len(rooms):
-                bins.append([size])
-                room, number = capacity, len(bins) - 1
-            else:
-                room, number = rooms.pop(at)
-                bins[number].append(size)
-            if room > size:
-                insort(rooms, (room - size, number))
-    return bins
-
-
-class _Left:
-    """Sizes still to be packed, in order, with their counts."""
-
-    def __init__(self, counts: dict[int, int]):
-        self.counts = dict(counts)
-        self.sizes = sorted(counts)
-
-    def take(self, items) -> None:
-        for x in items:
-            self.counts[x] -= 1
-            if not self.counts[x]:
-                del self.sizes[bisect_left(self.sizes, x)]
-
-    def put(self, items) -> None:
-        for x in items:
-            if not self.counts[x]:
-                insort(self.sizes, x)
-            self.counts[x] += 1
-
-    def largest(self, room: int, used: tuple = ()) -> int:
-        """Largest size that fits and is not used up by `used`; 0 if there is none."""
-        at = bisect_right(self.sizes, room) - 1
-        while at >= 0 and used.count(self.sizes[at]) >= self.counts[self.sizes[at]]:
-            at -= 1
-        return self.sizes[at] if at >= 0 else 0
-
-
-def _fillings(left: _Left, room: int) -> list[tuple[int, tuple]]:
-    """Undominated fillings of `room`, least waste first."""
-    found: dict[tuple, int] = {}
-
-    def greedy(items: tuple, room: int) -> None:
-        while room and (x := left.largest(room, items)):
-            items, room = (*items, x), room - x
-        found[items] = room
-
-    first = left.largest(room)
-    if not first or first == room:
-        return [(room - first, (first,) if first else ())]
-    at = bisect_right(left.sizes, room) - 1
-    for a in left.sizes[at : max(at - SCAN, -1) : -1] if at >= SCAN else left.sizes[at::-1]:
-        greedy((a,), room - a)
-        if found and min(found.values()) == 0:
-            break
-    else:
-        at = bisect_right(left.sizes, room // 2)
-        for b in left.sizes[max(0, at - SCAN) : at][::-1]:
-            greedy((b,), room - b)
-    best = sorted(((waste, items) for items, waste in found.items()), key=lambda f: (f[0], len(f[1])))
-    return [f for f in best[: 4 * WIDTH] if not _dominated(left, *f)][:WIDTH] or best[:1]
-
-
-def _dominated(left: _Left, waste: int, items: tuple) -> bool:
-    """Whether a larger piece could stand for one item, or a single piece for two."""
-    def between(low: int, high: int) -> bool:
-        at = bisect_left(left.sizes, low)
-        while at < len(left.sizes) and left.sizes[at] <= high:
-            if left.counts[left.sizes[at]] > items.count(left.sizes[at]):
-                return True
-            at += 1
-        return False
-
-    if waste and any(between(x + 1, x + waste) for x in set(items)):
-        return True
-    return len(items) > 1 and between(items[0] + items[1], items[0] + items[1] + waste)
-
-
-def bin_completion(counts: dict[int, int], capacity: int) -> list[list[int]]:
-    """Branch and bound over the bin of the largest item, from a best-fit incumbent."""
-    full = [[capacity]] * counts.get(capacity, 0)
-    counts = {s: n for s, n in counts.items() if 0 < s < capacity}
-    total = sum(s * n for s, n in counts.items())
-    big = sum(n for s, n in counts.items() if 2 * s > capacity)
-    bound = max(math.ceil(total / capacity), big)
-    incumbent = best_fit(counts, capacity)
-    left, path, steps = _Left(counts), [], STEPS_PER_SEQUENCE * len(incumbent) + 1000
-    options: list[list] = []
-    wasted = 0
-    while len(incumbent) > bound and steps:
-        steps -= 1
-        allowed = (len(incumbent) - 1) * capacity - total
-        if not left.sizes and wasted <= allowed:
-            incumbent = [list(items) for items, _ in path]
-            continue
-        if len(options) == len(path):
-            largest = left.sizes[-1] if left.sizes else 0
-            if largest:
-                left.take((largest,))
-                room = capacity - largest
-                options.append([(largest, f) for f in reversed(_fillings(left, room))])
-                left.put((largest,))
-            else:
-                options.append([])
-        if options[-1]:
-            largest, (waste, items) = options[-1].pop()
-            # the last bin's room is no waste: it only counts once something follows
-            if wasted + waste <= allowed or len(left.sizes) <= len(items) + 1:
-                content = (largest, *items)
-                left.take(content)
-                path.append((content, waste))
-                wasted += waste
-                continue
-        if options[-1]:
-            continue
-        options.pop()
-        if not path:
-            break
-        content, waste = path.pop()
-        left.put(content)
-        wasted -= waste
-    return full + incumbent
