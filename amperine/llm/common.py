@@ -46,6 +46,17 @@ def labelled_sample(rows: DataFrame, key: str, bound: int, seed: int = 1) -> Dat
     return rows.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2**30)) < int(share * 2**30)).limit(2 * bound)
 
 
+def labelled_texts(docs: DataFrame, marks: DataFrame, key: str, text: str) -> DataFrame:
+    """`marks`, a bounded sample with one row per key, each with the least text of its key.
+
+    However many rows repeat a key, one comes back, and they combine before the shuffle.
+    """
+    named = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    own = marks.withColumnRenamed(key, "_key")
+    joined = named.join(F.broadcast(own), "_key").groupBy(*own.columns).agg(F.min("_text").alias("_text"))
+    return joined.withColumnsRenamed({"_key": key, "_text": text})
+
+
 def spread_lookup(
     rows: DataFrame, lookup: DataFrame, key: str, weight: str, share: int = 1000
 ) -> DataFrame:

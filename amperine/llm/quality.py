@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amperine.llm.common import by_text, crc_fold, labelled_sample
+from amperine.llm.common import by_text, crc_fold, labelled_sample, labelled_texts
 from amperine.llm.tokens import DIGIT, LETTER, SIGN, temperature, tokens
 
 BUCKETS = 4096
@@ -206,8 +206,7 @@ def score_documents(
     """key, held_out, score and predicted for every row."""
     context = docs.sparkSession.sparkContext
     vectors = context.broadcast(word_vectors(context_sums(docs, text)))
-    # the sample is bounded, so it may be broadcast
-    sample = docs.select(key, text).join(F.broadcast(training_labels(labels, label, key, sample_rows)), key)
+    sample = labelled_texts(docs, training_labels(labels, label, key, sample_rows), key, text)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperine.llm.common import crc_fold, labelled_sample
+from amperine.llm.common import crc_fold, labelled_sample, labelled_texts
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -185,8 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """The list from a bounded sample of labelled rows that pass the base rules."""
     own = labels.filter(F.col(label).isNotNull() & (crc_fold(key, FOLDS) != HELD_OUT))
     marks = labelled_sample(own.groupBy(key).agg(F.max(label).cast("int").alias("_label")), key, sample_rows)
-    # the sample is bounded, so it may be broadcast
-    sample = statistics(docs.join(F.broadcast(marks), key), key, text, ["_label"]).filter(~base_failed())
+    sample = statistics(labelled_texts(docs, marks, key, text), key, text, ["_label"]).filter(~base_failed())
     got = sample.select("_label", *[feature(f).alias(f) for f in FEATURES]).collect()
     if not got:
         return []

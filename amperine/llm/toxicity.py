@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amperine.llm.common import by_text, labelled_sample
+from amperine.llm.common import by_text, labelled_sample, labelled_texts
 from amperine.llm.tokens import LETTER, PREFIX, tokens
 
 SAMPLE_ROWS = 10_000
@@ -168,8 +168,7 @@ def classify(
     """
     context = docs.sparkSession.sparkContext
     marks = labels.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.max(c).cast("long").alias(c) for c in categories])
-    # the sample is bounded, so it may be broadcast
-    sample = docs.select(key, text).join(F.broadcast(labelled_sample(marks, key, sample_rows)), key)
+    sample = labelled_texts(docs, labelled_sample(marks, key, sample_rows), key, text)
     chosen = telling_terms(sample, categories, text)
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from amperine.llm import language, warc
-from amperine.llm.common import by_text, pieces
+from amperine.llm.common import by_text, labelled_texts, pieces
 from amperine.llm.tokens import LETTER, SIGN, spell, tokens
 
 
@@ -80,3 +80,13 @@ def test_a_payload_unlike_its_digest_stops_the_job(spark, tmp_path):
     files = spark.createDataFrame([(str(tmp_path / "a.warc.gz"), len(block))], "file string, bytes long")
     with pytest.raises(Exception, match="not the one that was written"):
         warc.read(spark, files).collect()
+
+
+def test_a_key_of_many_rows_is_one_row_of_a_sample(spark):
+    docs = spark.createDataFrame(
+        [(7, f"text {i % 90:02d}", "x") for i in range(900)] + [(8, None, "x"), (9, "b", "x"), (None, "c", "x")],
+        "doc_id long, text string, label string",
+    )
+    marks = spark.createDataFrame([(7, 1), (8, 0), (10, 1)], "doc_id long, label int")
+    got = labelled_texts(docs, marks, "doc_id", "text")
+    assert sorted((r.doc_id, r.label, r.text) for r in got.collect()) == [(7, 1, "text 00"), (8, 0, None)]
