@@ -20,6 +20,14 @@ _ALERT_SCORES = [
 ]
 
 
+# what `to_anomaly_events` reads of a prediction, besides the lists and maps per feature
+EVENT_COLUMNS = [
+    "equipment_id", "window_end_time", "aggregation_level", "final_anomaly_level", "final_anomaly_score",
+    "rule_score", "iforest_score", "final_reason",
+]
+EVENT_LISTS = ["triggered_features", "triggered_feature_values", "threshold_values", "threshold_direction"]
+
+
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -157,27 +165,27 @@ def to_anomaly_events(predictions: DataFrame, as_of) -> DataFrame:
     A recovery is a normal row whose previous window of the same machine and level was
     warning or critical. The metric is the first triggered feature. `alert_id` is a hash of
     the row's key, so a re-run gives the same ids.
+
+    What a queue row needs of the lists and maps per feature is taken out of them before the
+    rows are brought into order, so that those are not shuffled.
     """
-    known = previous_in_series(
-        predictions, ["equipment_id", "aggregation_level"], "window_end_time",
-        {"_before": F.col("final_anomaly_level")},
-    )
     level = F.col("final_anomaly_level")
     recovered = (level == "normal") & F.col("_before").isin("warning", "critical")
     severity = F.when(level.isin("warning", "critical"), level).when(recovered, "recovery")
     first = F.try_element_at("triggered_features", F.lit(1))
     limits = F.try_element_at("threshold_values", first)
     low_side = F.try_element_at("threshold_direction", first) == "low"
-    rows = known.withColumn("severity", severity).filter(F.col("severity").isNotNull())
+    taken = {
+        "metric_name": first,
+        "metric_value": F.try_element_at("triggered_feature_values", first),
+        "threshold_value": F.when(low_side, limits["lower"]).otherwise(limits["upper"]),
+    }
     made = {
         "alert_id": F.xxhash64("equipment_id", "aggregation_level", F.col("window_end_time").cast("string"), "severity"),
         "window_end_time": F.col("window_end_time").cast("timestamp_ntz"),
         "anomaly_type": F.when(F.col("severity") == "recovery", "RECOVERY").otherwise(
-            F.upper(F.coalesce(first, F.lit("multivariate")))
+            F.upper(F.coalesce("metric_name", F.lit("multivariate")))
         ),
-        "metric_name": first,
-        "metric_value": F.try_element_at("triggered_feature_values", first),
-        "threshold_value": F.when(low_side, limits["lower"]).otherwise(limits["upper"]),
         "anomaly_score": F.col("final_anomaly_score") / 100,
         "final_score": F.col("final_anomaly_score"),
         "duration_minutes": _minutes(F.col("aggregation_level")),
@@ -190,6 +198,12 @@ def to_anomaly_events(predictions: DataFrame, as_of) -> DataFrame:
         "created_at": F.lit(as_of).cast("timestamp_ntz"),
         "notified_at": F.lit(None).cast("timestamp_ntz"),
     }
+    used = [*EVENT_COLUMNS, *[c for c in ALERT_QUEUE.fieldNames() if c in predictions.columns and c not in EVENT_COLUMNS]]
+    narrow = predictions.select(*used, *EVENT_LISTS).withColumns(taken).drop(*EVENT_LISTS)
+    known = previous_in_series(
+        narrow, ["equipment_id", "aggregation_level"], "window_end_time", {"_before": F.col("final_anomaly_level")}
+    )
+    rows = known.withColumn("severity", severity).filter(F.col("severity").isNotNull())
     return rows.withColumns(made).select(*ALERT_QUEUE.fieldNames())
 
 

@@ -91,12 +91,14 @@ def q_dispatch_pass(spark, sf_dir):
 
 
 def q_anomaly_events(spark, sf_dir):
-    rows = A.to_anomaly_events(settle(predictions(spark, sf_dir)), AS_OF)
+    found = predictions(spark, sf_dir).select(*A.EVENT_COLUMNS, *A.EVENT_LISTS)
+    rows = A.to_anomaly_events(settle(found), AS_OF)
     return rounded(rows.drop("alert_id", "message", "last_error_message", "created_at", "notified_at"))
 
 
 def q_anomaly_episodes(spark, sf_dir):
-    return rounded(A.anomaly_episodes(settle(predictions(spark, sf_dir))))
+    found = predictions(spark, sf_dir).select(*_ID, "final_anomaly_level", "final_anomaly_score")
+    return rounded(A.anomaly_episodes(settle(found)))
 
 
 def q_send_log_merge(spark, sf_dir):
