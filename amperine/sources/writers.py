@@ -48,8 +48,10 @@ def replace_windows(
 
     A row of `better` wins over one of `rows`. Only the days that get a row are written, each
     as a whole, so a repeat changes nothing. Null keys are equal. A missing table is made.
+    The rows of a day are brought together first, so that a day is few files however many tasks there are.
     """
     spark = rows.sparkSession
+    better = settle(better)
 
     def without(df: DataFrame, others: DataFrame) -> DataFrame:
         names = others.select(F.col(key).alias("_key"), F.col(time_col).alias("_time"))
@@ -60,7 +62,7 @@ def replace_windows(
     new.limit(0).write.mode("ignore").partitionBy(DAY).parquet(path)
     stored = spark.read.schema(new.schema).parquet(path)
     near = stored.join(new.select(DAY).distinct(), DAY, "left_semi")
-    whole = settle(without(near, new).unionByName(new))
+    whole = settle(without(near, new).unionByName(new).repartition(DAY))
     whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
 
 

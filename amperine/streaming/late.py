@@ -68,11 +68,6 @@ def stored_schema(readings: DataFrame) -> T.StructType:
     return T.StructType([*readings.schema.fields, T.StructField(DAY, T.DateType())])
 
 
-def touched_windows(late: DataFrame, width: str, time_col: str) -> DataFrame:
-    """module and window end of windows with a late reading."""
-    return late.select(F.col("module"), window_end(F.col(time_col), width).alias("_end")).distinct()
-
-
 def merge_windows(
     spark: SparkSession, root: str, schema: T.StructType, name: str, width: str, delay: str = "5 minutes",
     time_col: str = "localtime_datetime", flush: bool = False, **wanted,
@@ -83,34 +78,42 @@ def merge_windows(
     windows with late readings that have not been merged yet, or that were published since,
     are aggregated again, from the stored readings of their days; with `flush` also those that are still open. A repeat
     gives the same table.
+
+    Whether a window has such readings is found by the aggregate itself, which combines before its
+    shuffle, so that no reading is shuffled or joined with a list of windows.
     """
     done = marked(spark, f"{root}/{name}_merged").distinct()
     late_done = marked(spark, f"{root}/{name}_late_merged").distinct()
     split = read_published(spark, root, "late", schema, "split")
     late = split.join(late_done, "batch_id", "left_anti")
-    stored = read_published(spark, root, "ontime", schema, "split").unionByName(split).drop("batch_id")
     published = read_published(spark, root, name, aggregate_readings(split, width, time_col=time_col, **wanted).schema)
     new = published.join(done, "batch_id", "left_anti")
-    # a window may be published after its late readings have been merged
-    fresh_ends = new.select(F.col("equipment_id").alias("_id"), F.col("window_end_time").alias("_time")).distinct()
     new_days = new.select(day_of("window_end_time").alias(DAY)).distinct()
-    earlier = touched_windows(split.join(new_days, DAY, "left_semi"), width, time_col)
-    both = earlier["module"].eqNullSafe(F.col("_id")) & (earlier["_end"] == F.col("_time"))
-    touched = touched_windows(late, width, time_col).union(earlier.join(fresh_ends, both, "left_semi")).distinct()
-    newest = read_published(spark, root, "newest", NEWEST, "split").agg(F.max("newest")).first()[0]
+    end = window_end(F.col(time_col), width)
+    day = F.to_date(end - F.expr(TICK)).alias(DAY)
+    # a window may be published after its late readings have been merged
+    days = late.select(day).union(split.join(F.broadcast(new_days), DAY, "left_semi").select(day))
+    is_open = F.lit(False)
     if flush:
+        newest = read_published(spark, root, "newest", NEWEST, "split").agg(F.max("newest")).first()[0]
         limit = F.lit(newest).cast("timestamp_ntz") - F.expr(TICK) - F.expr(f"interval {delay}")
+        is_open = F.coalesce(end > limit, F.lit(False))
+    ontime = read_published(spark, root, "ontime", schema, "split").drop("batch_id")
+    if flush:
         # their readings lie on few days, the newest ones
-        recent = stored.filter(F.col(DAY) >= F.to_date(limit - F.expr(f"interval {width}")))
-        ends = recent.select("module", window_end(F.col(time_col), width).alias("_end"))
-        touched = touched.union(ends.filter(F.col("_end") > limit)).distinct()
-    days = touched.select(F.to_date(F.col("_end") - F.expr(TICK)).alias(DAY)).distinct()
-    near = stored.join(days, DAY, "left_semi").withColumn("_end", window_end(F.col(time_col), width))
-    again = near.join(
-        touched.withColumnRenamed("module", "_module"),
-        near["module"].eqNullSafe(F.col("_module")) & (near["_end"] == touched["_end"]), "left_semi",
-    ).drop("_end", DAY)
-    fresh = aggregate_readings(again, width, time_col=time_col, **wanted)
+        recent = F.col(DAY) >= F.to_date(limit - F.expr(f"interval {width}"))
+        days = days.union(ontime.unionByName(split.drop("batch_id")).filter(recent & is_open).select(day))
+    merged = late_done.select("batch_id", F.lit(True).alias("_merged"))
+    noted = split.join(merged, "batch_id", "left").withColumns(
+        {"_late": F.lit(True), "_now": F.col("_merged").isNull()}).drop("batch_id", "_merged")
+    stored = ontime.withColumns({"_late": F.lit(False), "_now": F.lit(False)}).unionByName(noted)
+    near = stored.join(F.broadcast(days.distinct()), DAY, "left_semi").withColumn("_now", F.col("_now") | is_open)
+    flags = [F.max("_late").alias("_late"), F.max("_now").alias("_now")]
+    again = aggregate_readings(near, width, time_col=time_col, **wanted, more=flags).filter("_late or _now")
+    ends = new.select(F.col("equipment_id").alias("_id"), F.col("window_end_time").alias("_time")).distinct()
+    both = again["equipment_id"].eqNullSafe(F.col("_id")) & (again["window_end_time"] == F.col("_time"))
+    known = again.join(ends, both, "left")
+    fresh = known.filter(F.col("_now") | F.col("_time").isNotNull()).drop("_late", "_now", "_id", "_time")
     batches = [r[0] for r in new.select("batch_id").distinct().collect()]
     late_batches = [r[0] for r in late.select("batch_id").distinct().collect()]
     replace_windows(new.drop("batch_id"), fresh, f"{root}/{name}_days")
