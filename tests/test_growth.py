@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -11,10 +12,14 @@ from pyspark.sql import functions as F
 from amperine.operators.alerts import EVENT_COLUMNS, EVENT_LISTS, to_anomaly_events
 from amperine.operators.iforest import _mean_path, _steps, fit_scaler
 from amperine.operators.windows import reading_states
-from amperine.plans import streams
+from amperine.operators.thresholds import FEATURES, with_thresholds
+from amperine.plans import derived, scoring, streams
 from amperine.plans.derived import readings
+from amperine.session import settle
 from amperine.sources.payloads import one_value
-from amperine.streaming.sinks import write_batch
+from amperine.sources.writers import DAY, replace_windows
+from amperine.streaming import late
+from amperine.streaming.sinks import publish, write_batch
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -96,3 +101,45 @@ def test_events_are_stored_in_short_compressed_files(spark, tmp_path, monkeypatc
 def test_batches_are_written_densely(spark, tmp_path):
     write_batch(spark.range(10), str(tmp_path / "t"), 3)
     assert all(".zstd." in p.name for p in (tmp_path / "t" / "batch_id=3").glob("part-*"))
+
+
+def test_corrections_join_no_readings_with_windows(spark, tmp_path, monkeypatch):
+    root, start = str(tmp_path), datetime(2025, 4, 1, 1)
+    rows = readings(spark, SF_DIR).limit(50).withColumn("localtime_datetime", F.lit(start).cast("timestamp_ntz"))
+    rows = rows.withColumn(DAY, F.lit(start).cast("date"))
+    publish({"ontime": rows, "late": rows, "newest": spark.range(1).select(F.lit(start).cast("timestamp_ntz").alias("newest"))}, root, 0, "split")
+    made = []
+    monkeypatch.setattr(late, "replace_windows", lambda new, better, path: made.append((plan(better), better.collect())))
+    late.merge_windows(spark, root, rows.schema, "15m", "15 minutes", energy=True)
+    (tree, found), = made
+    shuffled = [line for line in tree.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and not any("_end" in line for line in shuffled)  # windows of single readings
+    assert sum(r.event_count for r in found) == 100
+
+
+def test_a_day_of_windows_is_one_file(spark, tmp_path):
+    path, names = str(tmp_path / "t"), "equipment_id string, window_end_time timestamp_ntz, v int"
+    rows = spark.createDataFrame([(f"m{i}", datetime(2025, 4, 1 + i % 3, 1), i) for i in range(60)], names).repartition(6)
+    replace_windows(rows, rows.limit(0), path)
+    assert [len(list(p.glob("part-*"))) for p in (tmp_path / "t").glob(f"{DAY}=*")] == [1, 1, 1]
+
+
+def test_scoring_rows_are_stored_as_states_only(spark, monkeypatch):
+    stored = []
+    keep = lambda df: stored.append(df.columns) or settle(df)
+    monkeypatch.setattr(derived, "settle", keep)
+    monkeypatch.setattr(scoring, "settle", keep)
+    assert scoring.stored_rows(spark, SF_DIR).count() > 0
+    assert len(stored) == 4 and all("sum_avg_power_factor" in names for names in stored)
+
+
+def test_a_row_takes_its_limits_as_one_struct(spark):
+    limits = spark.createDataFrame(
+        [("1m", f, m, lo, lo + 2.0, 1.0, "high") for f in FEATURES[:5] for m, lo in (("a", 1.0), ("b", 3.0))] + [("1m", FEATURES[0], "c", None, 5.0, 1.0, "high")],
+        "aggregation_level string, feature string, equipment_id string, lower double, upper double, iqr double, direction string")
+    df = spark.createDataFrame([("1m", "a"), ("1m", "c"), ("1m", "x"), (None, "a")], "aggregation_level string, equipment_id string")
+    out = with_thresholds(df, limits)
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_own_" not in tree.split("Relation")[0]
+    got = {(r.aggregation_level, r.equipment_id): [r[f"limit_{f}"].lower for f in FEATURES] for r in out.collect()}
+    assert got == {("1m", "a"): [1.0] * 5 + [0.0], ("1m", "c"): [None] + [2.0] * 4 + [0.0], ("1m", "x"): [2.0] * 5 + [0.0], (None, "a"): [0.0] * 6}
