@@ -3,6 +3,7 @@
 import contextlib
 import io
 import os
+import re
 from datetime import datetime
 
 import numpy as np
@@ -10,10 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from amperine.operators.alerts import EVENT_COLUMNS, EVENT_LISTS, to_anomaly_events
+from amperine.operators.combine import scale_iforest
 from amperine.operators.iforest import _mean_path, _steps, fit_scaler
-from amperine.operators.windows import reading_states
+from amperine.operators.rules import rule_score
+from amperine.operators.windows import merge_states, reading_states
 from amperine.operators.thresholds import FEATURES, with_thresholds
-from amperine.plans import derived, scoring, streams
+from amperine.plans import alerts, derived, scoring, streams
 from amperine.plans.derived import readings
 from amperine.session import settle
 from amperine.sources.payloads import one_value
@@ -143,3 +146,41 @@ def test_a_row_takes_its_limits_as_one_struct(spark):
     assert "_own_" not in tree.split("Relation")[0]
     got = {(r.aggregation_level, r.equipment_id): [r[f"limit_{f}"].lower for f in FEATURES] for r in out.collect()}
     assert got == {("1m", "a"): [1.0] * 5 + [0.0], ("1m", "c"): [None] + [2.0] * 4 + [0.0], ("1m", "x"): [2.0] * 5 + [0.0], (None, "a"): [0.0] * 6}
+
+
+def test_alerts_are_scored_in_compiled_code(spark):
+    """The JVM compiles no method above 8000 bytes; Spark then gives up the fused stage (`tune`)."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        made = alerts.q_alert_candidates(spark, SF_DIR)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(made))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < 8000
+
+
+def test_windows_are_grouped_by_their_end_only(spark):
+    states = reading_states(readings(spark, SF_DIR))
+    for df in (states, merge_states(states, "15 minutes")):
+        keys = re.findall(r"HashAggregate\(keys=\[(.*?)\]", plan(df))
+        assert keys and all("_end" in k and "window#" not in k for k in keys)
+
+
+def test_a_score_without_limits_or_numbers(spark):
+    limit = "struct<lower:double,upper:double,bar:double,unit:double>"
+    low, high, nan = (0.0, 1.0, 5.0, 10.0), (0.0, 1.0, 1.0, 2.0), (0.0, 1.0, 1.0, float("nan"))
+    gap = (None, 1.0, None, None)
+    schema = "n int, " + ", ".join(f"{f} double, limit_{f} {limit}" for f in FEATURES)
+    row = lambda n, *limits: (n, *[x for each in limits for x in (2.0, each)])
+    rows = [row(0, *[gap] * 6), row(1, gap, high, *[gap] * 4), row(2, nan, *[gap] * 5), row(3, low, *[gap] * 5), row(4, *[gap] * 5, low)]
+    got = {r.n: r.rule_score for r in rule_score(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {0: 0.0, 1: 50.0, 2: 100.0, 3: 0.0, 4: 30.0}
+
+
+def test_percentiles_that_cannot_scale(spark):
+    inf, nan = float("inf"), float("nan")
+    pairs = [(None, 1.0), (0.0, None), (nan, 1.0), (0.0, nan), (-inf, 1.0), (0.0, inf), (1.0, 1.0), (2.0, 1.0), (0.0, 0.5)]
+    df = spark.createDataFrame([(i, -0.1, *p) for i, p in enumerate(pairs)], "n int, iforest_score_raw double, p1 double, p99 double")
+    got = {r.n: r.iforest_score for r in scale_iforest(df).collect()}
+    assert got == {**{i: 75.0 for i in range(8)}, 8: 20.0}
