@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from threading import Lock
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from amperine.operators.features import model_input
-from amperine.operators.windows import aggregate_readings
 from amperine.streaming.ingest import without_duplicates
-from amperine.streaming.sinks import publish, start, write_batch
+from amperine.streaming.sinks import publish, write_batch
+from amperine.streaming.windows import start_windows
 
 
 def start_aggregations(
@@ -23,18 +25,18 @@ def start_aggregations(
     """
     if dedup_keys:
         readings = without_duplicates(readings, dedup_keys, delay, time_col)
-        delay = None  # the watermark is set
-    minute = aggregate_readings(readings, "1 minute", anomaly=True, time_col=time_col, delay=delay)
-    quarter = aggregate_readings(readings, "15 minutes", energy=True, time_col=time_col, delay=delay)
+
+    turn = Lock()
+
+    def windows(name: str, width: str, write, **wanted) -> StreamingQuery:
+        return start_windows(
+            readings, width, write, f"{root}/_checkpoint/{name}", f"{root}/_open/{name}", delay, every, time_col,
+            keep=bool(dedup_keys), turn=turn, **wanted)
 
     def write_quarter(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            publish({"15m": batch, "model_input": model_input(batch)}, root, batch_id)
-        finally:
-            batch.unpersist()
+        publish({"15m": batch, "model_input": model_input}, root, batch_id, remake=False)
 
     return [
-        start(minute, lambda df, i: write_batch(df, f"{root}/1m", i), f"{root}/_checkpoint/1m", every=every),
-        start(quarter, write_quarter, f"{root}/_checkpoint/15m", every=every),
+        windows("1m", "1 minute", lambda df, i: write_batch(df, f"{root}/1m", i), energy=False, anomaly=True),
+        windows("15m", "15 minutes", write_quarter, dealt=False),
     ]

@@ -10,22 +10,16 @@ published, and fresh aggregates of the windows with late readings, into a table
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from amperine.operators.windows import aggregate_readings
+from amperine.operators.windows import TICK, aggregate_readings, window_end
 from amperine.sources.writers import DAY, day_of, replace_windows
 from amperine.streaming.sinks import mark, marked, publish, read_batches, read_published, start
 
 NEWEST = T.StructType([T.StructField("newest", T.TimestampNTZType())])
-TICK = "interval 1 microsecond"
-
-
-def window_end(time: Column, width: str) -> Column:
-    """End of the window (start, end] that a time lies in."""
-    return F.window(time - F.expr(TICK), width)["end"].cast("timestamp_ntz")
 
 
 def newest_before(spark: SparkSession, root: str, batch_id: int):
