@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperine.session import lookup_join
-
 
 def islands(
     df: DataFrame, keys: list[str], time_col: str, step: Column,
@@ -57,24 +55,22 @@ def previous_in_series(
     """Add `columns` evaluated on the previous row (by time) of the same key, at any gap.
 
     A plain lag would sort all rows of a key in one task. Here the lag runs inside
-    (key, day); the first row of each day takes the last row of the key's previous day from
-    a table with one row per key and day.
+    (key, day), where the last row of the key's previous day is put before the rows of the day. So no
+    table of days, which grows with the time span and the number of keys, is joined or broadcast.
     """
     names = list(columns)
     timed = df.withColumn("_day", F.to_date(time_col)).withColumn("_now", F.struct(*[
         expr.alias(name) for name, expr in columns.items()
     ]))
-    in_day = Window.partitionBy(*keys, "_day").orderBy(time_col)
-    within = timed.withColumn("_prev", F.lag("_now").over(in_day)).withColumn(
-        "_first", F.row_number().over(in_day) == 1
-    )
     days = timed.groupBy(*keys, "_day").agg(F.max_by("_now", time_col).alias("_last"))
     over_days = Window.partitionBy(*keys).orderBy("_day")
-    carried = days.select(*keys, "_day", F.lag("_last").over(over_days).alias("_carry"))
-    joined = lookup_join(within, carried, [*keys, "_day"])
-    before = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
+    carried = days.select(*keys, "_day", F.lag("_last").over(over_days).alias("_now"), F.lit(True).alias("_carried"))
+    carried = carried.filter(F.col("_now").isNotNull())
+    both = timed.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    in_day = Window.partitionBy(*keys, "_day").orderBy(F.col("_carried").desc(), time_col)
     return (
-        joined.withColumn("_before_row", before)
+        both.withColumn("_before_row", F.lag("_now").over(in_day))
+        .filter(~F.col("_carried"))
         .withColumns({name: F.col("_before_row")[name] for name in names})
-        .drop("_day", "_now", "_prev", "_first", "_carry", "_before_row")
+        .drop("_day", "_now", "_carried", "_before_row")
     )

@@ -105,7 +105,8 @@ def lookup_join(
 
     The table is settled and counted. Up to `max_rows` it is broadcast and `df` is not
     shuffled. Beyond that every table row is repeated once per salt, so the rows of one
-    hot key spread over all salts.
+    hot key spread over all salts. These copies are never broadcast, however small the files of the
+    table are: they would be put together in the driver's memory.
     """
     table = settle(table).withColumnsRenamed({name: f"_{name}_key" for name in on})
     same = reduce(and_, [F.col(f"`{name}`").eqNullSafe(F.col(f"`_{name}_key`")) for name in on])
@@ -116,7 +117,7 @@ def lookup_join(
     copies = table.withColumn(
         "_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     )
-    return salted.join(copies, same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy", *keys)
+    return salted.join(copies.hint("merge"), same & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy", *keys)
 
 
 def level_join(df: DataFrame, table: DataFrame, level: str = "aggregation_level") -> DataFrame:

@@ -14,11 +14,12 @@ from amperine.operators.alerts import EVENT_COLUMNS, EVENT_LISTS, to_anomaly_eve
 from amperine.operators.combine import scale_iforest
 from amperine.operators.iforest import _mean_path, _steps, fit_scaler
 from amperine.operators.rules import rule_score
+from amperine.operators.series import previous_in_series
 from amperine.operators.windows import merge_states, reading_states
 from amperine.operators.thresholds import FEATURES, with_thresholds
 from amperine.plans import alerts, derived, scoring, streams
 from amperine.plans.derived import readings
-from amperine.session import settle
+from amperine.session import lookup_join, settle
 from amperine.sources.payloads import one_value
 from amperine.sources.writers import DAY, replace_windows
 from amperine.streaming import late
@@ -184,3 +185,23 @@ def test_percentiles_that_cannot_scale(spark):
     df = spark.createDataFrame([(i, -0.1, *p) for i, p in enumerate(pairs)], "n int, iforest_score_raw double, p1 double, p99 double")
     got = {r.n: r.iforest_score for r in scale_iforest(df).collect()}
     assert got == {**{i: 75.0 for i in range(8)}, 8: 20.0}
+
+
+def test_days_are_carried_without_a_lookup(spark):
+    """A row per key and day, for long spans more than the driver can broadcast."""
+    rows = [(m, datetime(2025, 4, d, h), f"{m}{d}{h}") for m in ("a", None) for d in (1, 2, 5) for h in (3, 0, 7)] + [("a", None, "none")]
+    df = spark.createDataFrame(rows, "m string, t timestamp_ntz, v string").repartition(3)
+    made = previous_in_series(df, ["m"], "t", {"was": F.col("v")})
+    assert "Broadcast" not in plan(made) and "Join" not in plan(made)
+    want, last = {("none", None)}, {}
+    for m, t, v in sorted((r for r in rows if r[1]), key=lambda r: r[1]):
+        want.add((v, last.get(m)))
+        last[m] = v
+    assert {(r.v, r.was) for r in made.collect()} == want and made.columns == ["m", "t", "v", "was"]
+
+
+def test_a_large_lookup_is_never_broadcast(spark):
+    table = spark.range(30).select((F.col("id") % 29).alias("k"), F.col("id").alias("v")).filter("v < 29")
+    joined = lookup_join(spark.range(40).withColumnRenamed("id", "k"), table, ["k"], max_rows=10)
+    assert "Broadcast" not in plan(joined)
+    assert sorted((r.k, r.v) for r in joined.collect()) == [(k, k if k < 29 else None) for k in range(40)]
