@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from amperine.operators.windows import from_states, merge_states, reading_states, window_end
+from amperine.operators.windows import from_states, merge_states, reading_states, state_columns, window_end
 from amperine.streaming.sinks import start, write_batch
 
 NEWEST = T.StructType([T.StructField("newest", T.TimestampNTZType())])
@@ -51,7 +51,9 @@ def start_windows(
                 if keep:
                     rows.unpersist()
 
-    return start(readings, step, checkpoint, every=every)
+    # a batch is handed over with all its columns made
+    used = {"module": None, time_col: None, **dict.fromkeys(state_columns(wanted.get("energy", True), wanted.get("anomaly", False)))}
+    return start(readings.select(*used), step, checkpoint, every=every)
 
 
 def closed_windows(

@@ -1,5 +1,6 @@
 """Windows of streams whose open ones are a table; what a batch leaves on disk."""
 
+import os
 import time
 from datetime import datetime, timedelta
 
@@ -7,14 +8,18 @@ from pyspark.sql import functions as F
 
 from amperine.operators.features import model_input
 from amperine.operators.windows import ENERGY, aggregate_readings
+from amperine.plans import streams
+from amperine.plans.derived import scoring_rows
 from amperine.schemas import MEASURES
 from amperine.session import freed_shuffles, settle
+from amperine.streaming import scoring, windows
 from amperine.streaming.aggregation import start_aggregations
 from amperine.streaming.ingest import replay
 from amperine.streaming.sinks import publish, read_published, write_batch
 from amperine.streaming.windows import closed_windows
 
 START = datetime(2025, 4, 1)
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TYPES = "localtime_datetime timestamp_ntz, module string, " + ", ".join(f"{c} double" for c in MEASURES)
 
 
@@ -96,3 +101,33 @@ def test_shuffles_of_a_stored_table_are_freed(spark, tmp_path):
     with freed_shuffles(spark):
         assert spark.conf.get(name) == "true"
     assert spark.conf.get(name) == "false"
+
+
+def test_a_stream_is_handed_over_with_the_columns_its_windows_need(spark, tmp_path, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(windows, "closed_windows", lambda batch, i, width, *a, **k: seen.update({width: batch.columns}) or spark.range(1))
+    df = rows_at(spark, 20).withColumn("localtime", F.lit("a text that costs time"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = replay(spark, str(tmp_path / "in"), df.schema)
+    for width, wanted in (("1 minute", dict(energy=False, anomaly=True)), ("15 minutes", {})):
+        windows.start_windows(stream, width, lambda *a: None, str(tmp_path / f"c{width}"), str(tmp_path / "s"), **wanted).awaitTermination()
+    assert "localtime" not in seen["1 minute"] + seen["15 minutes"] and "activePower" not in seen["1 minute"]
+    assert {"voltageRS", "localtime_datetime", "module"} <= set(seen["1 minute"]) and "accumActiveEnergy" in seen["15 minutes"]
+
+
+def test_scoring_keeps_nothing_in_memory_and_bounds_its_batches(spark, tmp_path, monkeypatch):
+    kept = []
+
+    def watched(df, path, batch_id):
+        write_batch(df, path, batch_id)
+        kept.append([(i.memSize(), i.diskSize()) for i in spark._jsc.sc().getRDDStorageInfo()])
+
+    monkeypatch.setattr(scoring, "write_batch", watched)
+    monkeypatch.setattr(streams, "BATCH_BYTES", 150_000)
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: str(tmp_path / name))
+    got = streams.q_stream_score(spark, SF_DIR)
+    rows = scoring_rows(spark, SF_DIR).filter("event_count % 10 < 4")
+    assert got.count() == rows.count() + rows.filter("event_count % 10 = 3").count()
+    assert len([*(tmp_path / "stream-score" / "out" / "predictions").glob("batch_id=*")]) > 1
+    sizes = [s for each in kept for s in each]
+    assert any(disk for _, disk in sizes) and not any(memory for memory, _ in sizes)
